@@ -21,11 +21,8 @@ def epoch_micros(ts: str) -> Column:
     )
 
 
-def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """`events` as card transactions: Time, V1, V2, Amount and a rare Class."""
-    events = table(spark, sf_dir, "events")
-    # a scalar subquery: planned only when the query reads Time
-    start = events.select(F.min(epoch_micros("ts"))).scalar()
+def as_transactions(events: DataFrame, start: Column) -> DataFrame:
+    """Events, batch or stream, as card transactions: Time, V1, V2, Amount and a rare Class."""
     return events.select(
         F.col("event_id").alias("tx_id"),
         ((epoch_micros("ts") - start) / F.lit(1e6)).alias("Time"),
@@ -36,6 +33,12 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = table(spark, sf_dir, "events")
+    # a scalar subquery: planned only when the query reads Time
+    return as_transactions(events, events.select(F.min(epoch_micros("ts"))).scalar())
+
+
 def event_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select(F.col("event_id").alias("tx_id"), "ts")
 
