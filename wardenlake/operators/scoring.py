@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from wardenlake.operators.projections import align_schema, argmax_prediction, complement, label_text
 from wardenlake.schema import FEATURES, KEY, record_schema
@@ -64,6 +64,8 @@ def flag_summary(df: DataFrame, prediction: str = "prediction") -> DataFrame:
 
 def windowed_flags(df: DataFrame, ts: str = "ts", every: str = "1 hour", late: str = "1 hour", prediction: str = "prediction") -> DataFrame:
     """Scored and flagged rows per period. On a stream, rows later than `late` are left out."""
+    if df.isStreaming and df.schema[ts].dataType == T.TimestampNTZType():
+        df = df.withColumn(ts, F.col(ts).cast("timestamp"))  # watermarks know no other type
     return (
         df.withWatermark(ts, late)
         .groupBy(F.window(ts, every).alias("period"))

@@ -56,8 +56,8 @@ def at(threshold: float) -> str:
 
 
 SPLIT = f"""split AS (
-  SELECT *, CASE WHEN at <= round(n * 0.2::DOUBLE) THEN 'test' ELSE 'train' END AS split FROM (
-    SELECT *, row_number() OVER (PARTITION BY Class ORDER BY md5(tx_id::VARCHAR || '|42')) AS at,
+  SELECT *, CASE WHEN place <= round(n * 0.2::DOUBLE) THEN 'test' ELSE 'train' END AS split FROM (
+    SELECT *, row_number() OVER (PARTITION BY Class ORDER BY md5(tx_id::VARCHAR || '|42')) AS place,
            count(*) OVER (PARTITION BY Class) AS n FROM %s))"""
 FOLDS = """folds AS (
   SELECT *, (ntile(5) OVER (PARTITION BY Class ORDER BY md5(tx_id::VARCHAR || '|42')) - 1)::INTEGER AS fold FROM scored)"""
@@ -86,11 +86,17 @@ def optimal(metric: str) -> str:
       FROM exact e JOIN rated r USING (threshold) ORDER BY e.{metric} DESC, e.threshold LIMIT 1"""
 
 
-COSTS = """tp AS true_positives, fp AS false_positives, fn AS false_negatives, tn AS true_negatives,
-  round(fn * 122.21::DOUBLE * 0.75::DOUBLE, 2) + 0.0 AS fn_cost_usd, round(fp * 15.0::DOUBLE, 2) + 0.0 AS fp_cost_usd,
-  round(tp * 122.21::DOUBLE * 0.25::DOUBLE, 2) + 0.0 AS tp_savings_usd,
-  round(fn * 122.21::DOUBLE * 0.75::DOUBLE + fp * 15.0::DOUBLE, 2) + 0.0 AS total_cost_usd,
-  round(tp * 122.21::DOUBLE * 0.25::DOUBLE - (fn * 122.21::DOUBLE * 0.75::DOUBLE + fp * 15.0::DOUBLE), 2) + 0.0 AS net_benefit_usd,
+
+
+def cents(amount: str) -> str:
+    """Half-up on the decimal text of the number, which is how Spark rounds."""
+    return f"round(({amount})::VARCHAR::DECIMAL(38, 16), 2)::DOUBLE + 0.0"
+
+
+MISSED, ALARMS, SAVED = "fn * 122.21::DOUBLE * 0.75::DOUBLE", "fp * 15.0::DOUBLE", "tp * 122.21::DOUBLE * 0.25::DOUBLE"
+COSTS = f"""tp AS true_positives, fp AS false_positives, fn AS false_negatives, tn AS true_negatives,
+  {cents(MISSED)} AS fn_cost_usd, {cents(ALARMS)} AS fp_cost_usd, {cents(SAVED)} AS tp_savings_usd,
+  {cents(f'{MISSED} + {ALARMS}')} AS total_cost_usd, {cents(f'{SAVED} - ({MISSED} + {ALARMS})')} AS net_benefit_usd,
   122.21::DOUBLE AS avg_fraud_amount, 15.0::DOUBLE AS investigation_cost, 0.25::DOUBLE AS fraud_recovery_rate"""
 
 HALVES = f"""{TX}, sided AS (SELECT *, Time >= (SELECT max(Time) / 2 FROM tx) AS cur FROM tx),
@@ -209,7 +215,7 @@ ORACLE = {
     ),
     "correlation_with_gaps": f"WITH {GAPS} "
     + " UNION ALL ".join(
-        f"SELECT '{a}' AS col_a, '{b}' AS col_b, {'1.0::DOUBLE' if a == b else f'round(corr({a}, {b}), 6) + 0.0'} AS corr FROM gaps"
+        f"SELECT '{a}' AS col_a, '{b}' AS col_b, {'max(1.0::DOUBLE)' if a == b else f'round(corr({a}, {b}), 6) + 0.0'} AS corr FROM gaps"
         for a, b in itertools.product([*NUMERIC, "Class"], repeat=2)
     ),
     "amount_density": f"""WITH {TX}, s AS (SELECT Class, count(*) AS n, stddev_samp(Amount) * power(count(*)::DOUBLE, -0.2::DOUBLE) AS h
