@@ -101,7 +101,6 @@ COSTS = f"""tp AS true_positives, fp AS false_positives, fn AS false_negatives,
 
 HALVES = f"""{TX}, sided AS (SELECT *, Time >= (SELECT max(Time) / 2 FROM tx) AS cur FROM tx),
  long AS ({' UNION ALL '.join(f"SELECT cur, '{c}' AS feature, {c} AS value FROM sided" for c in NUMERIC)})"""
-DECILES = ", ".join(f"{i}.0::DOUBLE / 10" for i in range(11))
 PSI = """edges AS (
   SELECT feature, list_sort(list_distinct(quantile_cont(value, [0.0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0]))) AS cuts
   FROM long WHERE NOT cur GROUP BY feature),
@@ -129,6 +128,11 @@ DRIFT = f"""{HALVES}, {PSI}, {KS}, drift AS (
          CASE WHEN psi < 0.1 THEN 'none' WHEN psi < 0.2 THEN 'moderate' ELSE 'significant' END AS psi_band,
          (p < 0.05 OR psi >= 0.1) AS drift_detected
   FROM tested JOIN psi USING (feature))"""
+# the whole table as the current side, against its early half
+WHOLE_LONG = f"""long AS ({' UNION ALL '.join(
+    f"SELECT false AS cur, '{c}' AS feature, {c} AS value FROM sided WHERE NOT cur UNION ALL SELECT true, '{c}', {c} FROM sided"
+    for c in NUMERIC)})"""
+STREAMED_DRIFT = DRIFT[: DRIFT.index("long AS")] + WHOLE_LONG + DRIFT[DRIFT.index(", edges AS"):]
 
 PHI = f"""{TX}, phi AS ({' UNION ALL '.join(
     f"SELECT tx_id, '{c}' AS feature, {c} AS value, {b}::DOUBLE * ({c} - (SELECT avg({c}) FROM tx)) AS phi FROM tx"
@@ -322,6 +326,12 @@ ORACLE = {
         UNION ALL SELECT 'models/none', 'not_found', NULL, NULL""",
     "score_batch": PUBLISHED,
     "streamed_scores": PUBLISHED,
+    "streamed_flags": """WITH h AS (SELECT date_trunc('hour', ts) AS start, count(*) AS n, count(*) FILTER (WHERE value >= 100) AS f
+          FROM events GROUP BY 1)
+        SELECT strftime(start, '%Y-%m-%d %H:%M:%S') AS window_start, strftime(start + INTERVAL 1 HOUR, '%Y-%m-%d %H:%M:%S') AS window_end,
+          n AS total_transactions, f AS total_flagged_frauds FROM h
+        WHERE start + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)""",
+    "streamed_drift": f"WITH {STREAMED_DRIFT} SELECT *, 0::BIGINT AS batch_id FROM drift",
     "soft_vote_scores": f"""WITH {TX}, m AS (SELECT tx_id, {unit("tx_id::VARCHAR || '|100'")} AS lr, {unit("tx_id::VARCHAR || '|101'")} AS rf,
           {unit("tx_id::VARCHAR || '|102'")} AS gbt FROM tx),
         v AS (SELECT *, (1.0::DOUBLE * lr + 2.0::DOUBLE * rf + 2.0::DOUBLE * gbt) / 5.0::DOUBLE AS ensemble_fraud_proba FROM m)
