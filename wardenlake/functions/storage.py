@@ -17,12 +17,17 @@ def shared_folder(spark: SparkSession) -> str:
     return tempfile.mkdtemp(prefix="wardenlake-")
 
 
+def new_folder(spark: SparkSession) -> str:
+    """A folder of its own below one that is named after the application."""
+    return f"{shared_folder(spark)}/wardenlake/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write `df` once and read it back.
 
     Later steps start from files, so they neither recompute `df` nor depend on the executors
     that made it, and the optimizer knows its size when it picks a join strategy.
     """
-    path = f"{shared_folder(df.sparkSession)}/wardenlake/{uuid.uuid4().hex}"
+    path = new_folder(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

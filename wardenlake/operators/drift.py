@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from wardenlake.functions.order_stats import exact_quantiles, log_bucket, long_form, zoom
 from wardenlake.functions.storage import materialize
@@ -25,22 +26,16 @@ def shared_features(reference: DataFrame, current: DataFrame, features: Sequence
 # PSI
 
 
-def compute_psi(reference: DataFrame, current: DataFrame, features: Sequence[str] | None = None, n_bins: int = 10) -> DataFrame:
-    """(feature, psi) over the quantile bins of the reference.
+@dataclass(frozen=True)
+class PsiProfile:
+    """The reference side of PSI: bin edges and counts, at most n_bins + 1 numbers per feature."""
 
-    Bins are closed on the left, the last one on both sides. Current values outside all bins
-    count in the denominator only. A constant reference gives 0.
-    """
-    _, columns = shared_features(reference, current, features)
-    spark = reference.sparkSession
-    schema = "feature string, psi double"
-    if not columns:
-        return spark.createDataFrame([], schema)
-    deciles = exact_quantiles(reference, columns, [i / n_bins for i in range(n_bins + 1)])
-    edges = {c: sorted(set(v)) for (_, c), v in deciles.items()}  # n_bins + 1 numbers per feature
-    columns = [c for c in columns if c in edges]
-    if not columns:
-        return spark.createDataFrame([], schema)
+    edges: dict[str, list[float]]
+    counts: dict[tuple[str, int], int]
+
+
+def _bin_counts(df: DataFrame, edges: dict[str, list[float]]) -> DataFrame:
+    """(feature, bin, n) of the present values; bin -1 holds those outside all bins."""
 
     def bin_of(c: str) -> Column:
         value, cuts = F.col(c).cast("double"), edges[c]
@@ -50,33 +45,54 @@ def compute_psi(reference: DataFrame, current: DataFrame, features: Sequence[str
             number = number.when(value < right, F.lit(i))
         return number.otherwise(F.lit(max(len(cuts) - 2, 0)))
 
-    def counted(df: DataFrame, name: str) -> DataFrame:
-        numbered = df.select(*[bin_of(c).cast("int").alias(c) for c in columns])
-        long = numbered.unpivot([], columns, "feature", "bin").where(F.col("bin").isNotNull())
-        return long.groupBy("feature", "bin").agg(F.count("*").alias(name))
-
-    bins = [(c, b) for c in columns for b in [-1, *range(len(edges[c]) - 1)]]
-    table = (
-        F.broadcast(spark.createDataFrame(bins, "feature string, bin int"))
-        .join(counted(reference, "n_ref"), ["feature", "bin"], "left")
-        .join(counted(current, "n_cur"), ["feature", "bin"], "left")
-        .fillna(0, ["n_ref", "n_cur"])
-    )
-    if any(len(edges[c]) == 1 for c in columns):
-        # a constant feature has no bins; its values only count for the totals
-        flat = [c for c in columns if len(edges[c]) == 1]
-        table = table.where(~F.col("feature").isin(flat)).unionByName(
-            spark.createDataFrame([(c, -1, 1, 1) for c in flat], table.schema)
-        )
+    columns = list(edges)
+    numbered = df.select(*[bin_of(c).cast("int").alias(c) for c in columns])
+    long = numbered.unpivot([], columns, "feature", "bin").where(F.col("bin").isNotNull())
+    return long.groupBy("feature", "bin").agg(F.count("*").alias("n"))
+
+
+def fit_psi(reference: DataFrame, features: Sequence[str] | None = None, n_bins: int = 10) -> PsiProfile:
+    columns = list(features) if features is not None else numeric_columns(reference, exclude=(KEY,))
+    deciles = exact_quantiles(reference, columns, [i / n_bins for i in range(n_bins + 1)]) if columns else {}
+    edges = {c: sorted(set(v)) for (_, c), v in deciles.items()}
+    found = _bin_counts(reference, edges).collect() if edges else []  # n_bins + 1 rows per feature
+    return PsiProfile(edges, {(r["feature"], r["bin"]): r["n"] for r in found})
+
+
+def compute_psi(
+    reference: DataFrame | PsiProfile, current: DataFrame, features: Sequence[str] | None = None, n_bins: int = 10
+) -> DataFrame:
+    """(feature, psi) over the quantile bins of the reference, which may come as a fitted profile.
+
+    Bins are closed on the left, the last one on both sides. Current values outside all bins
+    count in the denominator only. A constant reference gives 0.
+    """
+    spark = current.sparkSession
+    if not isinstance(reference, PsiProfile):
+        reference = fit_psi(reference, shared_features(reference, current, features)[1], n_bins)
+    edges = {c: v for c, v in reference.edges.items() if c in current.columns and (features is None or c in features)}
+    if not edges:
+        return spark.createDataFrame([], "feature string, psi double")
+    bins = [
+        (c, b, len(cuts) > 1 and b >= 0, reference.counts.get((c, b), 0))
+        for c, cuts in edges.items()
+        for b in range(-1, max(len(cuts) - 1, 1))
+    ]
     every = Window.partitionBy("feature")
-    shares = table.select(
-        "feature",
-        "bin",
-        (F.col("n_ref") / (F.sum("n_ref").over(every) + F.lit(EPS)) + F.lit(EPS)).alias("r"),
-        (F.col("n_cur") / (F.sum("n_cur").over(every) + F.lit(EPS)) + F.lit(EPS)).alias("c"),
-        F.sum("n_cur").over(every).alias("all_cur"),
-    ).where(F.col("all_cur") > 0)
-    term = F.when(F.col("bin") >= 0, (F.col("c") - F.col("r")) * F.log(F.col("c") / F.col("r"))).otherwise(F.lit(0.0))
+    shares = (
+        F.broadcast(spark.createDataFrame(bins, "feature string, bin int, counts boolean, n_ref long"))
+        .join(_bin_counts(current, edges).withColumnRenamed("n", "n_cur"), ["feature", "bin"], "left")
+        .fillna(0, ["n_cur"])
+        .select(
+            "feature",
+            "counts",
+            (F.col("n_ref") / (F.sum("n_ref").over(every) + F.lit(EPS)) + F.lit(EPS)).alias("r"),
+            (F.col("n_cur") / (F.sum("n_cur").over(every) + F.lit(EPS)) + F.lit(EPS)).alias("c"),
+            F.sum("n_cur").over(every).alias("all_cur"),
+        )
+        .where(F.col("all_cur") > 0)
+    )
+    term = F.when(F.col("counts"), (F.col("c") - F.col("r")) * F.log(F.col("c") / F.col("r"))).otherwise(F.lit(0.0))
     return shares.groupBy("feature").agg(F.sum(term).alias("psi"))
 
 
@@ -200,10 +216,14 @@ def detect_drift(
     features: Sequence[str] | None = None,
     ks_alpha: float = 0.05,
     psi_threshold: float = 0.1,
+    profile: PsiProfile | None = None,
 ) -> DataFrame:
-    """One row per feature that both tables have with values. Flags use unrounded numbers."""
+    """One row per feature that both tables have with values. Flags use unrounded numbers.
+
+    A `profile` fitted earlier saves the reference's passes for PSI.
+    """
     ks = ks_statistic(reference, current, features)
-    psi = compute_psi(reference, current, features)
+    psi = compute_psi(profile or reference, current, shared_features(reference, current, features)[1])
     p = ks_pvalue(F.col("ks_statistic"), F.col("n_ref"), F.col("n_cur"))
     joined = psi.join(F.broadcast(ks), "feature").withColumn("p", p)
     ks_flag, psi_flag = F.col("p") < ks_alpha, F.col("psi") >= psi_threshold

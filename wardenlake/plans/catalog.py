@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wardenlake.config import DEFAULTS
 from wardenlake.functions.hashing import hash_key, unit_interval
-from wardenlake.functions.storage import materialize, shared_folder
+from wardenlake.functions.storage import materialize, new_folder
 from wardenlake.models import training
 from wardenlake.models.stages import soft_vote
 from wardenlake.operators import cost, drift, explain, features, metrics, profile, projections, sampling, scoring, smote, thresholds
@@ -502,8 +500,7 @@ def soft_vote_scores(spark, sf_dir):
 
 @query
 def windowed_flags(spark, sf_dir):
-    timed = decided(spark, sf_dir).join(bindings.event_times(spark, sf_dir), "tx_id")
-    return _periods(scoring.windowed_flags(timed))
+    return _periods(scoring.windowed_flags(decided(spark, sf_dir)))
 
 
 def _periods(counts):
@@ -529,7 +526,7 @@ def _events_stream(spark, sf_dir):
 
 
 def _stream_folders(spark):
-    root = f"{shared_folder(spark)}/wardenlake/{uuid.uuid4().hex}"
+    root = new_folder(spark)
     return f"{root}/out", f"{root}/checkpoint"
 
 

@@ -21,7 +21,7 @@ def epoch_micros(ts: str) -> Column:
     )
 
 
-def as_transactions(events: DataFrame, start: Column) -> DataFrame:
+def as_transactions(events: DataFrame, start: Column, *keep: str) -> DataFrame:
     """Events, batch or stream, as card transactions: Time, V1, V2, Amount and a rare Class."""
     return events.select(
         F.col("event_id").alias("tx_id"),
@@ -30,17 +30,14 @@ def as_transactions(events: DataFrame, start: Column) -> DataFrame:
         F.get_json_object("props", "$.k").cast("double").alias("V2"),
         F.col("value").alias("Amount"),
         F.when((F.col("event_type") == "error") & (F.col("value") >= 100), 1).otherwise(0).alias("Class"),
+        *keep,
     )
 
 
-def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def transactions(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
     # a scalar subquery: planned only when the query reads Time
-    return as_transactions(events, events.select(F.min(epoch_micros("ts"))).scalar())
-
-
-def event_times(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").select(F.col("event_id").alias("tx_id"), "ts")
+    return as_transactions(events, events.select(F.min(epoch_micros("ts"))).scalar(), *keep)
 
 
 def wide_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,10 +53,10 @@ def wide_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scored_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Transactions with a score that leans towards the label and has ties."""
+    """Transactions with their timestamp and a score that leans towards the label and has ties."""
     u = unit_interval(hash_key("tx_id", 42))
     raw = F.lit(0.55) * u + F.lit(0.35) * F.col("Class") + F.lit(0.05)
-    return transactions(spark, sf_dir).withColumn("score", F.floor(F.lit(1000.0) * raw) / F.lit(1000.0))
+    return transactions(spark, sf_dir, "ts").withColumn("score", F.floor(F.lit(1000.0) * raw) / F.lit(1000.0))
 
 
 def with_missing_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from wardenlake.operators.drift import detect_drift
+from wardenlake.operators.drift import detect_drift, fit_psi, shared_features
 from wardenlake.operators.scoring import score_batch, windowed_flags
 from wardenlake.schema import FEATURES, KEY, record_schema
 
@@ -47,14 +47,16 @@ def drift_stream(
 ) -> StreamingQuery:
     """Compare every micro-batch with a fixed reference.
 
-    A batch writes its own directory and overwrites it when it is replayed.
+    The reference is profiled once. A batch writes its own directory and overwrites it when it
+    is replayed.
     """
+    profile = fit_psi(reference, shared_features(reference, incoming, features)[1])
 
     def check(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
             if batch.take(1):
-                found = detect_drift(reference, batch, features, ks_alpha, psi_threshold)
+                found = detect_drift(reference, batch, features, ks_alpha, psi_threshold, profile)
                 found.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
         finally:
             batch.unpersist()
