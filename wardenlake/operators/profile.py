@@ -6,7 +6,7 @@ import itertools
 
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.stat import Correlation
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from wardenlake.functions.order_stats import exact_quantiles
 from wardenlake.schema import KEY, LABEL, numeric_columns
@@ -74,6 +74,12 @@ def mean_by_class(df: DataFrame, target: str = LABEL, exclude=(KEY,)) -> DataFra
     return df.groupBy(target).agg(*[F.avg(c).alias(c) for c in columns])
 
 
+def _pearson(a: Column, b: Column) -> Column:
+    """Correlation over the complete pairs; NULL, not an error, where one side does not vary."""
+    deviations = F.stddev_pop(F.when(b.isNotNull(), a)) * F.stddev_pop(F.when(a.isNotNull(), b))
+    return F.try_divide(F.covar_pop(a, b), deviations)
+
+
 def correlation_matrix(df: DataFrame, columns=None) -> DataFrame:
     """Pearson correlation of every two numeric columns, over the rows where both are present.
 
@@ -95,7 +101,7 @@ def correlation_matrix(df: DataFrame, columns=None) -> DataFrame:
     pairs = [p for p in itertools.combinations(columns, 2) if p not in values]
     for start in range(0, len(pairs), 100):
         part = pairs[start : start + 100]
-        got = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")) for a, b in part]).first()
+        got = df.agg(*[_pearson(F.col(a).cast("double"), F.col(b).cast("double")) for a, b in part]).first()
         for (a, b), value in zip(part, got):
             values[a, b] = values[b, a] = value
     rows = []
