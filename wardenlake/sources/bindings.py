@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from wardenlake.functions.hashing import hash_key, unit_interval
-from wardenlake.schema import COMPONENTS, nan_to_null
+from wardenlake.schema import COMPONENTS
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return nan_to_null(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+    """These tables hold no NaN, so nothing stands between a filter and the scan."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def epoch_micros(ts: str) -> Column:
@@ -43,12 +44,10 @@ def transactions(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
 def wide_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """`embeddings` as transactions with all 28 components."""
     vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
-    return nan_to_null(
-        vectors.select(
-            F.col("vec_id").alias("tx_id"),
-            *[F.col("embedding")[i].cast("double").alias(c) for i, c in enumerate(COMPONENTS)],
-            F.when(F.col("label") == 0, 1).otherwise(0).alias("Class"),
-        )
+    return vectors.select(
+        F.col("vec_id").alias("tx_id"),
+        *[F.col("embedding")[i].cast("double").alias(c) for i, c in enumerate(COMPONENTS)],
+        F.when(F.col("label") == 0, 1).otherwise(0).alias("Class"),
     )
 
 

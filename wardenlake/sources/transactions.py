@@ -11,7 +11,8 @@ def load_transactions(spark: SparkSession, path: str, fmt: str = "csv", required
     """Scan a transaction table; every column is DOUBLE but the key and the label.
 
     CSV columns may come in any order. Only the header line is read ahead: types are declared,
-    and a value that does not parse ends the job instead of turning into NULL.
+    and a value that does not parse ends the job instead of turning into NULL. NaN becomes NULL;
+    a landed table went through that once and needs no second pass (`spark.read`).
     """
     if fmt == "csv":
         header = require_columns(spark.read.option("header", True).csv(path), required).columns
