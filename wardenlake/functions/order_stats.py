@@ -42,7 +42,7 @@ def long_form(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ()) -
     )
 
 
-def zoom(rows: DataFrame, brackets: DataFrame, on: Sequence[str], carry: Sequence[str] = ()) -> DataFrame:
+def zoom(rows: DataFrame, brackets: DataFrame, on: Sequence[str]) -> DataFrame:
     """Keep the rows inside a bracket and cut every bracket into equal slices.
 
     `brackets` has the columns `on` (the bucket's name), `next` (its new number), `lo` and `hi`.
@@ -51,7 +51,6 @@ def zoom(rows: DataFrame, brackets: DataFrame, on: Sequence[str], carry: Sequenc
     kept = [c for c in rows.columns if c not in ("parent", "b")]
     return rows.join(brackets, list(on)).select(
         *kept,
-        *carry,
         F.col("next").alias("parent"),
         F.least(F.floor(share * SLICES), F.lit(SLICES - 1)).cast("long").alias("b"),
     )

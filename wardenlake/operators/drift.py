@@ -5,14 +5,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from wardenlake.functions.order_stats import exact_quantiles, log_bucket, long_form, zoom
 from wardenlake.functions.storage import materialize
 from wardenlake.schema import KEY, numeric_columns
 
 BUCKET_ROWS = 1_000_000
-BROADCAST_BUCKETS = 50_000
+BROADCAST_BUCKETS = 20_000
 EPS = 1e-8
 
 
@@ -129,67 +129,72 @@ def ks_statistic(reference: DataFrame, current: DataFrame, features: Sequence[st
         .withColumns({"parent": F.lit(0).cast("long"), "b": log_bucket(F.col("value"))})
     )
     sums = [F.sum("r").alias("r"), F.sum("c").alias("c")]
-    first = rows.groupBy(*name).agg(*sums, F.min("value").alias("lo"), F.max("value").alias("hi"))
+
+    def histogram(rows: DataFrame) -> DataFrame:
+        # one row per bucket; written, for several small queries read it
+        ends = [F.min("value").alias("lo"), F.max("value").alias("hi")]
+        return materialize(rows.groupBy(*name).agg(*sums, *ends))
+
+    counts = histogram(rows)
     totals = {
         f["feature"]: (f["r"], f["c"])
-        for f in first.groupBy("feature").agg(*sums).collect()  # one row per feature
+        for f in counts.groupBy("feature").agg(*sums).collect()  # one row per feature
         if f["r"] and f["c"]
     }
     if not totals:
         return spark.createDataFrame([], out_schema)
     best = dict.fromkeys(totals, 0.0)
     sizes = spark.createDataFrame([(f, *n) for f, n in totals.items()], "feature string, n_ref long, n_cur long")
-    starts = sizes.select("feature", F.lit(0).cast("long").alias("parent"), F.lit(0).cast("long").alias("r0"), F.lit(0).cast("long").alias("c0"))
+    zero = F.lit(0).cast("long")
+    starts = sizes.select("feature", zero.alias("parent"), zero.alias("r0"), zero.alias("c0"))
 
-    counts = first
-    while True:
-        order = Window.partitionBy("feature", "parent").orderBy("b")
-        reached = {
-            "r1": F.col("r0") + F.sum("r").over(order),
-            "c1": F.col("c0") + F.sum("c").over(order),
-        }
-        placed = counts.join(F.broadcast(sizes), "feature").join(starts, ["feature", "parent"]).withColumns(reached)
-        before = (F.col("r1") - F.col("r")) / F.col("n_ref") - (F.col("c1") - F.col("c")) / F.col("n_cur")
-        after = F.abs(F.col("r1") / F.col("n_ref") - F.col("c1") / F.col("n_cur"))
-        possible = F.greatest(before + F.col("r") / F.col("n_ref"), -before + F.col("c") / F.col("n_cur"))
-        gaps = materialize(placed.select("*", after.alias("gap"), possible.alias("possible")))
+    def gap(r: Column, c: Column) -> Column:
+        return r / F.col("n_ref") - c / F.col("n_cur")
+
+    def raise_best(gaps: DataFrame) -> None:
         for f in gaps.groupBy("feature").agg(F.max("gap").alias("gap")).collect():
             best[f["feature"]] = max(best[f["feature"]], f["gap"])
+
+    def reached(counts: DataFrame, order: str) -> DataFrame:
+        """Rows of both tables up to each bucket or value: those before its parent and within it."""
+        within = Window.partitionBy("feature", "parent").orderBy(order)
+        placed = counts.join(F.broadcast(sizes), "feature").join(starts, ["feature", "parent"])
+        placed = placed.withColumns(
+            {"r1": F.col("r0") + F.sum("r").over(within), "c1": F.col("c0") + F.sum("c").over(within)}
+        )
+        return placed.withColumn("gap", F.abs(gap(F.col("r1"), F.col("c1"))))
+
+    while True:
+        placed = reached(counts, "b")
+        raise_best(placed)
+        r0, c0 = F.col("r1") - F.col("r"), F.col("c1") - F.col("c")
+        possible = F.greatest(gap(F.col("r1"), c0), -gap(r0, F.col("c1")))
         floor = spark.createDataFrame(list(best.items()), "feature string, best double")
-        open_buckets = gaps.join(F.broadcast(floor), "feature").where(
-            (F.col("possible") > F.col("best")) & (F.col("lo") < F.col("hi"))
+        undecided = (
+            placed.join(F.broadcast(floor), "feature")
+            .where((possible > F.col("best")) & (F.col("lo") < F.col("hi")))
+            .select(*name, "lo", "hi", r0.alias("r0"), c0.alias("c0"), (F.col("r") + F.col("c")).alias("n"))
         )
-        left = open_buckets.agg(F.count("*").alias("n"), F.max(F.col("r") + F.col("c")).alias("biggest")).first()
-        if not left["n"]:
+        found = undecided.limit(BROADCAST_BUCKETS + 1).collect()
+        if not found:
             break
-        brackets = open_buckets.select(
-            *name,
-            F.monotonically_increasing_id().alias("next"),
-            "lo",
-            "hi",
-            (F.col("r1") - F.col("r")).alias("r0"),
-            (F.col("c1") - F.col("c")).alias("c0"),
-        )
-        brackets = materialize(brackets)  # fixes the numbers; Spark sees its size
-        few = left["n"] <= BROADCAST_BUCKETS
-        inner = zoom(rows, F.broadcast(brackets.select(*name, "next", "lo", "hi")) if few else brackets.select(*name, "next", "lo", "hi"), name)
+        few = len(found) <= BROADCAST_BUCKETS
+        if few:
+            schema = T.StructType([*undecided.schema.fields, T.StructField("next", T.LongType())])
+            brackets = spark.createDataFrame([(*f, i) for i, f in enumerate(found)], schema)
+            biggest = max(f["n"] for f in found)
+        else:
+            # too many for the driver: a table, whose size decides how Spark joins it
+            brackets = materialize(undecided.withColumn("next", F.monotonically_increasing_id()))
+            biggest = brackets.agg(F.max("n")).first()[0]
+        ends = brackets.select(*name, "next", "lo", "hi")
+        rows = zoom(rows, F.broadcast(ends) if few else ends, name)
         starts = brackets.select("feature", F.col("next").alias("parent"), "r0", "c0")
-        if left["biggest"] <= BUCKET_ROWS:
-            # small enough to order the distinct values of every bucket
-            exact = inner.groupBy("feature", "parent", "value").agg(*sums)
-            order = Window.partitionBy("feature", "parent").orderBy("value")
-            at = exact.join(F.broadcast(sizes), "feature").join(starts, ["feature", "parent"]).select(
-                "feature",
-                F.abs(
-                    (F.col("r0") + F.sum("r").over(order)) / F.col("n_ref")
-                    - (F.col("c0") + F.sum("c").over(order)) / F.col("n_cur")
-                ).alias("gap"),
-            )
-            for f in at.groupBy("feature").agg(F.max("gap").alias("gap")).collect():
-                best[f["feature"]] = max(best[f["feature"]], f["gap"])
+        if biggest <= BUCKET_ROWS:
+            # small enough to put the distinct values of every bucket in order
+            raise_best(reached(rows.groupBy("feature", "parent", "value").agg(*sums), "value"))
             break
-        rows = inner
-        counts = rows.groupBy(*name).agg(*sums, F.min("value").alias("lo"), F.max("value").alias("hi"))
+        counts = histogram(rows)
     return spark.createDataFrame([(f, *totals[f], d) for f, d in best.items()], out_schema)
 
 
