@@ -31,7 +31,9 @@ def check(spark, values):
         np.arange(0, 1, 1e-4),
     ],
 )
-def test_quantiles_equal_numpy(spark, values):
+@pytest.mark.parametrize("leaf", [1, 1_000_000])
+def test_quantiles_equal_numpy(spark, monkeypatch, values, leaf):
+    monkeypatch.setattr(order_stats, "LEAF_ROWS", leaf)
     check(spark, values)
 
 

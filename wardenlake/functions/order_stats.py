@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 SLICES = 4096
 LEAF_KEYS = 1000
+LEAF_ROWS = 1_000_000
 PROBE_ROWS = 1_000_000
 MAX_RANGES = 20_000
 
@@ -76,9 +77,9 @@ def exact_quantiles(
         {"parent": F.lit(0).cast("long"), "b": log_bucket(F.col("value"))}
     )
 
-    def histogram(rows, within):
-        order = Window.partitionBy(*within).orderBy("b")
-        counts = rows.groupBy(*name).agg(
+    def histogram(rows, within, bucket="b"):
+        order = Window.partitionBy(*within).orderBy(bucket)
+        counts = rows.groupBy(*ids, "parent", bucket).agg(
             F.count("*").alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi")
         )
         return counts.withColumn("before", F.sum("n").over(order) - F.col("n"))
@@ -125,8 +126,13 @@ def exact_quantiles(
         small = spark.createDataFrame([(*k, *v) for k, v in brackets.items()], bracket_schema)
         rows = zoom(rows, F.broadcast(small), name)
         wishes = spark.createDataFrame(targets, "parent long, slot int, rank long")
+        if max(hit["n"] for hit in hits) <= LEAF_ROWS:
+            # few enough to put a bracket's values themselves in order
+            counted = histogram(rows, ["parent"], "value")
+        else:
+            counted = histogram(rows, ["parent"])
         hits = (
-            histogram(rows, ["parent"])
+            counted
             .join(F.broadcast(wishes), "parent")
             .where((F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("before") + F.col("n")))
             .collect()

@@ -31,3 +31,12 @@ def materialize(df: DataFrame) -> DataFrame:
     path = new_folder(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give a scan of few files a task per core. Larger tables keep their splits: no shuffle.
+
+    Meant for plans of scans and projections, whose partitions are known without running them.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

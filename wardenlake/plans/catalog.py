@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wardenlake.config import DEFAULTS
 from wardenlake.functions.hashing import hash_key, unit_interval
-from wardenlake.functions.storage import materialize, new_folder
+from wardenlake.functions.storage import materialize, new_folder, spread
 from wardenlake.models import training
 from wardenlake.models.stages import soft_vote
 from wardenlake.operators import cost, drift, explain, features, metrics, profile, projections, sampling, scoring, smote, thresholds
@@ -570,9 +570,13 @@ def streamed_drift(spark, sf_dir):
 # ---- fitted models ---------------------------------------------------------------------------
 
 
+def _landed_split(spark, sf_dir):
+    return materialize(spread(sampling.stratified_split(bindings.transactions(spark, sf_dir))))
+
+
 def _train_test(spark, sf_dir):
     """The split lands in the shared folder; training reads one part, evaluation the other."""
-    tx = materialize(sampling.stratified_split(bindings.transactions(spark, sf_dir)))
+    tx = _landed_split(spark, sf_dir)
     return tx.where("split = 'train'").drop("split"), tx.where("split = 'test'").drop("split")
 
 
@@ -600,7 +604,7 @@ def boosted_trees(spark, sf_dir):
 
 @query
 def plain_forest(spark, sf_dir):
-    tx = materialize(sampling.stratified_split(bindings.transactions(spark, sf_dir)))
+    tx = _landed_split(spark, sf_dir)
     train = tx.where("split = 'train'").drop("split")
     return rounded(training.accuracy_by_split(training.plain_forest(train).fit(train), tx))
 

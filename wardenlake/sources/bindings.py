@@ -64,6 +64,8 @@ def with_missing_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def early_and_late(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Reference and current halves of the time range."""
-    tx = transactions(spark, sf_dir)
-    middle = tx.select(F.max("Time") / 2).scalar()
+    events = table(spark, sf_dir, "events")
+    # drift makes several passes: find the bounds once
+    first, last = events.agg(F.min(epoch_micros("ts")), F.max(epoch_micros("ts"))).first()
+    tx, middle = as_transactions(events, F.lit(first)), F.lit((last - first) / 1e6 / 2)
     return tx.where(F.col("Time") < middle), tx.where(F.col("Time") >= middle)
