@@ -38,10 +38,11 @@ PAIRS = {
 }
 
 
-@pytest.mark.parametrize("bucket_rows, broadcast", [(1_000_000, 50_000), (20, 50_000), (20, 0)])
+@pytest.mark.parametrize("open_rows, local, broadcast", [(10**6, 10**4, 10**6), (20, 10**4, 10**6), (5, 0, 10**6), (5, 0, 0)])
 @pytest.mark.parametrize("name", PAIRS)
-def test_ks_equals_brute_force(spark, monkeypatch, name, bucket_rows, broadcast):
-    monkeypatch.setattr(drift, "BUCKET_ROWS", bucket_rows)
+def test_ks_equals_brute_force(spark, monkeypatch, name, open_rows, local, broadcast):
+    monkeypatch.setattr(drift, "OPEN_ROWS", open_rows)
+    monkeypatch.setattr(drift, "LOCAL_BUCKETS", local)
     monkeypatch.setattr(drift, "BROADCAST_BUCKETS", broadcast)
     ref, cur = PAIRS[name]
     row = drift.ks_statistic(frame(spark, a=ref), frame(spark, a=cur)).first()

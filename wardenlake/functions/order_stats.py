@@ -43,7 +43,7 @@ def long_form(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ()) -
     )
 
 
-def zoom(rows: DataFrame, brackets: DataFrame, on: Sequence[str]) -> DataFrame:
+def zoom(rows: DataFrame, brackets: DataFrame, on: Sequence[str], slices: int = SLICES) -> DataFrame:
     """Keep the rows inside a bracket and cut every bracket into equal slices.
 
     `brackets` has the columns `on` (the bucket's name), `next` (its new number), `lo` and `hi`.
@@ -53,7 +53,7 @@ def zoom(rows: DataFrame, brackets: DataFrame, on: Sequence[str]) -> DataFrame:
     return rows.join(brackets, list(on)).select(
         *kept,
         F.col("next").alias("parent"),
-        F.least(F.floor(share * SLICES), F.lit(SLICES - 1)).cast("long").alias("b"),
+        F.least(F.floor(share * slices), F.lit(slices - 1)).cast("long").alias("b"),
     )
 
 

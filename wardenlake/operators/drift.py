@@ -11,8 +11,10 @@ from wardenlake.functions.order_stats import exact_quantiles, log_bucket, long_f
 from wardenlake.functions.storage import materialize
 from wardenlake.schema import KEY, numeric_columns
 
-BUCKET_ROWS = 1_000_000
-BROADCAST_BUCKETS = 20_000
+OPEN_ROWS = 1_000_000  # rows whose values are put in order one by one
+SLICES = 64  # few, so that a map task's rows collapse into their buckets
+LOCAL_BUCKETS = 20_000
+BROADCAST_BUCKETS = 1_000_000
 EPS = 1e-8
 
 
@@ -110,8 +112,8 @@ def ks_statistic(reference: DataFrame, current: DataFrame, features: Sequence[st
 
     The two distribution functions are compared at bucket ends first. Inside a bucket their gap
     cannot grow by more than the bucket's own share of rows, so only buckets that could still
-    beat the largest gap seen are looked into; the others never leave their map task. Buckets
-    that stay too big are cut finer before their distinct values are put in order.
+    beat the largest gap seen are looked into; the others never leave their map task. They are
+    cut finer until few rows are left, whose distinct values are then put in order.
     """
     _, columns = shared_features(reference, current, features)
     spark = reference.sparkSession
@@ -175,23 +177,21 @@ def ks_statistic(reference: DataFrame, current: DataFrame, features: Sequence[st
             .where((possible > F.col("best")) & (F.col("lo") < F.col("hi")))
             .select(*name, "lo", "hi", r0.alias("r0"), c0.alias("c0"), (F.col("r") + F.col("c")).alias("n"))
         )
-        found = undecided.limit(BROADCAST_BUCKETS + 1).collect()
+        found = undecided.limit(LOCAL_BUCKETS + 1).collect()
         if not found:
             break
-        few = len(found) <= BROADCAST_BUCKETS
-        if few:
+        if len(found) <= LOCAL_BUCKETS:
             schema = T.StructType([*undecided.schema.fields, T.StructField("next", T.LongType())])
             brackets = spark.createDataFrame([(*f, i) for i, f in enumerate(found)], schema)
-            biggest = max(f["n"] for f in found)
+            size, open_rows = len(found), sum(f["n"] for f in found)
         else:
-            # too many for the driver: a table, whose size decides how Spark joins it
             brackets = materialize(undecided.withColumn("next", F.monotonically_increasing_id()))
-            biggest = brackets.agg(F.max("n")).first()[0]
+            size, open_rows = brackets.agg(F.count("*"), F.sum("n")).first()
         ends = brackets.select(*name, "next", "lo", "hi")
-        rows = zoom(rows, F.broadcast(ends) if few else ends, name)
+        # beyond the limit Spark joins by the table's size
+        rows = zoom(rows, F.broadcast(ends) if size <= BROADCAST_BUCKETS else ends, name, SLICES)
         starts = brackets.select("feature", F.col("next").alias("parent"), "r0", "c0")
-        if biggest <= BUCKET_ROWS:
-            # small enough to put the distinct values of every bucket in order
+        if open_rows <= OPEN_ROWS:
             raise_best(reached(rows.groupBy("feature", "parent", "value").agg(*sums), "value"))
             break
         counts = histogram(rows)
