@@ -38,8 +38,13 @@ PAIRS = {
 }
 
 
-@pytest.mark.parametrize("open_rows, local, broadcast", [(10**6, 10**4, 10**6), (20, 10**4, 10**6), (5, 0, 10**6), (5, 0, 0)])
-@pytest.mark.parametrize("name", PAIRS)
+LIMITS = [(10**6, 10**4, 10**6), (20, 10**4, 10**6), (5, 0, 10**6), (5, 0, 0)]
+
+
+@pytest.mark.parametrize(
+    "name, open_rows, local, broadcast",
+    [(name, *LIMITS[0]) for name in PAIRS] + [(n, *limit) for n in ("same", "one log bucket", "hot value") for limit in LIMITS[1:]],
+)
 def test_ks_equals_brute_force(spark, monkeypatch, name, open_rows, local, broadcast):
     monkeypatch.setattr(drift, "OPEN_ROWS", open_rows)
     monkeypatch.setattr(drift, "LOCAL_BUCKETS", local)
