@@ -1,0 +1,56 @@
+import numpy as np
+import public_tokenizers
+import regex
+from hypothesis import given, settings, strategies as st
+
+from wardenlake.llm import pretokens
+
+WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
+BYTES = regex.compile(public_tokenizers.PATTERN)
+TEXT = st.text(st.sampled_from("ab'strelvmd  \n\t é12½!?,·日́'' "), max_size=40)
+
+
+def tokens(chunk, text):
+    return [chunk.string(i) for i in range(chunk.first[text], chunk.first[text + 1])]
+
+
+@settings(max_examples=1500, deadline=None)
+@given(st.lists(TEXT, min_size=1, max_size=4))
+def test_same_as_the_patterns(texts):
+    for split, pattern in ((pretokens.byte_level, BYTES), (pretokens.word_level, WORDS)):
+        chunk = split(texts)
+        assert [tokens(chunk, i) for i in range(len(texts))] == [pattern.findall(t) for t in texts]
+
+
+def test_equal_tokens_have_equal_hashes():
+    chunk = pretokens.byte_level(["one two", "two one two", ""])
+    seen = {}
+    for i in range(len(chunk.starts)):
+        assert seen.setdefault(chunk.string(i), chunk.hashes[i]) == chunk.hashes[i]
+    assert len(set(seen.values())) == len(seen)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(TEXT, min_size=1, max_size=5), st.integers(1, 20))
+def test_pieces_cut_no_token(texts, size):
+    got = [[] for _ in texts]
+    for parts, owners in pretokens.pieces(texts, size):
+        chunk = pretokens.byte_level(parts)
+        for i, owner in enumerate(owners):
+            got[owner] += tokens(chunk, i)
+    assert got == [BYTES.findall(t) for t in texts]
+
+
+def test_memo_forgets_and_solves_again():
+    solved = []
+    memo = pretokens.Memo(lambda strings: solved.extend(strings) or [[len(s)] * len(s) for s in strings], entries=3)
+    for text in ("a bb a", "ccc", "a dd eee f"):
+        chunk = pretokens.byte_level([text])
+        values, sizes = memo.expand(memo.slots_of(chunk))
+        assert sizes.tolist() == [len(m) for m in BYTES.findall(text)]
+        assert values.tolist() == [len(m) for m in BYTES.findall(text) for _ in m]
+    assert solved.count("a") == 2
+
+
+def test_sums_take_empty_ranges():
+    assert pretokens.sums(np.array([1, 2, 3]), np.array([0, 0, 2, 3])).tolist() == [0, 3, 3]
