@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from wardenlake.llm import byte_bpe
+from wardenlake.llm import byte_bpe, whole_tokens
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,8 +17,14 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip_digests(table(spark, sf_dir, "documents"), ranks)
 
 
+def op9_whole_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = public_tokenizers.path("word_bpe_49k.json")
+    return whole_tokens.count_documents(table(spark, sf_dir, "documents"), words)
+
+
 QUERIES = {
     "op5_byte_bpe": op5_byte_bpe,
+    "op9_whole_tokens": op9_whole_tokens,
 }
 
 ORACLE: dict[str, str] = {}
