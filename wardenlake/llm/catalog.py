@@ -6,10 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from wardenlake.llm import byte_bpe, whole_tokens
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+from wardenlake.llm.batches import table
 
 
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
