@@ -5,10 +5,14 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from wardenlake.llm import byte_bpe, whole_tokens
+from wardenlake.llm import byte_bpe, token_files, whole_tokens
 from wardenlake.llm.batches import table
 
 
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.coded_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return byte_bpe.round_trip_digests(table(spark, sf_dir, "documents"), ranks)
@@ -20,6 +24,7 @@ def op9_whole_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_token_files": op4_token_files,
     "op5_byte_bpe": op5_byte_bpe,
     "op9_whole_tokens": op9_whole_tokens,
 }
