@@ -21,7 +21,7 @@ def publish(uri: str) -> Iterator:
     folder, name = posixpath.split(path)
     system.create_dir(folder, recursive=True)
     draft = f"{folder}/.{name}.{uuid.uuid4().hex}"
-    with system.open_output_stream(draft) as out:
+    with system.open_output_stream(draft, compression=None) as out:
         yield out
     try:
         system.move(draft, path)
@@ -38,4 +38,4 @@ def random_access(uri: str):
 
 def sequential(uri: str):
     system, path = locate(uri)
-    return system.open_input_stream(path)
+    return system.open_input_stream(path, compression=None)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from wardenlake.llm import byte_bpe, token_files, whole_tokens
+from wardenlake.llm import byte_bpe, token_files, warc, whole_tokens
 from wardenlake.llm.batches import table
 
 
@@ -23,10 +23,30 @@ def op9_whole_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whole_tokens.count_documents(table(spark, sf_dir, "documents"), words)
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived_pages(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op4_token_files": op4_token_files,
     "op5_byte_bpe": op5_byte_bpe,
     "op9_whole_tokens": op9_whole_tokens,
+    "op10_warc": op10_warc,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op10_warc": """
+        WITH p AS (
+            SELECT page_id, coalesce(html, '') AS body, sha256(coalesce(html, '')) AS payload_digest,
+                   strlen(coalesce(html, '')) AS payload_bytes
+            FROM pages
+        ), f AS (
+            SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) END AS first_page FROM p
+        )
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN first_page IS NOT NULL AND page_id IS DISTINCT FROM first_page THEN 'revisit' ELSE 'response' END
+                   AS record_type,
+               CASE WHEN page_id IS DISTINCT FROM first_page THEN first_page END AS refers_to
+        FROM f
+    """,
+}
