@@ -5,10 +5,14 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from wardenlake.llm import byte_bpe, token_files, warc, whole_tokens
+from wardenlake.llm import byte_bpe, histogram_shards, token_files, warc, whole_tokens
 from wardenlake.llm.batches import table
 
 
+def op3_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return histogram_shards.shard_documents(table(spark, sf_dir, "documents"))
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.coded_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -28,6 +32,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_histogram_shards": op3_histogram_shards,
     "op4_token_files": op4_token_files,
     "op5_byte_bpe": op5_byte_bpe,
     "op9_whole_tokens": op9_whole_tokens,
