@@ -5,10 +5,14 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from wardenlake.llm import byte_bpe, histogram_shards, token_files, warc, whole_tokens
+from wardenlake.llm import byte_bpe, histogram_shards, paragraph_sketch, token_files, warc, whole_tokens
 from wardenlake.llm.batches import table
 
 
+def op1_paragraph_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return paragraph_sketch.compare_with_edits(table(spark, sf_dir, "documents"))
+
+
 def op3_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return histogram_shards.shard_documents(table(spark, sf_dir, "documents"))
 
@@ -32,6 +36,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_paragraph_sketch": op1_paragraph_sketch,
     "op3_histogram_shards": op3_histogram_shards,
     "op4_token_files": op4_token_files,
     "op5_byte_bpe": op5_byte_bpe,

@@ -25,13 +25,17 @@ def key_splits(df: DataFrame, key: str, n: int) -> list[int]:
     return sorted({low, *found}) if found else []
 
 
-def with_range(df: DataFrame, key: str, splits: list[int], name: str) -> DataFrame:
-    """Adds `name`: how many splits past the first are at most the key; 0 for a null key."""
-    inner = sorted({float(s) for s in splits[1:]})
+def count_ranges(splits: list[int]) -> int:
+    return max(1, len({float(s) for s in splits}))
+
+
+def with_range(df: DataFrame, key: str, splits: list[int], name: str, nulls_last: bool = False) -> DataFrame:
+    """Adds `name`: the number, from 0, of the range of the key. Keys that are one DOUBLE are in one range."""
+    inner = sorted({float(s) for s in splits})[1:]
     if not inner:
         return df.withColumn(name, F.lit(0))
     key_copy, number = f"__{name}_key", f"__{name}_number"
     cut = Bucketizer(splits=[float("-inf"), *inner, float("inf")], inputCol=key_copy, outputCol=number, handleInvalid="keep")
     numbered = cut.transform(df.withColumn(key_copy, F.col(key).cast("double")))
-    placed = F.when(F.col(key).isNull(), F.lit(0)).otherwise(F.col(number).cast("int"))
+    placed = F.when(F.col(key).isNull(), F.lit(len(inner) if nulls_last else 0)).otherwise(F.col(number).cast("int"))
     return numbered.withColumn(name, placed).drop(key_copy, number)

@@ -267,7 +267,7 @@ def write_corpus(docs: DataFrame, folder: str, tokenizer: str, end: int = 0) ->
     """
     splits = ranges.key_splits(docs, "doc_id", ranges.wanted_ranges(docs, "text"))
     placed = ranges.with_range(docs.select("doc_id", "text"), "doc_id", splits, "file_no")
-    sorted_docs = placed.repartitionById(max(1, len(splits)), "file_no").sortWithinPartitions("file_no", "doc_id", "text")
+    sorted_docs = placed.repartitionById(ranges.count_ranges(splits), "file_no").sortWithinPartitions("file_no", "doc_id", "text")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, rows = library_encoder(tokenizer), _runs(batches)
