@@ -74,7 +74,8 @@ def test_peeling_recovers_the_digests_and_retries(spark):
         a, b = ([rng.getrandbits(64) - 2**63 for _ in range(rng.randrange(60))] for _ in range(2))
         sets.append((i, shared + a, b + shared))
     df = spark.createDataFrame(sets, "i int, a array<bigint>, b array<bigint>")
-    for row in paragraph_sketch.with_difference(df, "a", "b", "d").collect():
+    found = paragraph_sketch.differences(F.col("a"), [F.col("b")])
+    for row in df.withColumn("d", found[0]).collect():
         a, b = set(row["a"]), set(row["b"])
         assert set(row["d"]["left"]) == a - b and set(row["d"]["right"]) == b - a
         assert len(row["d"]["left"]) == len(a - b) and len(row["d"]["right"]) == len(b - a)

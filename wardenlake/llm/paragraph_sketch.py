@@ -128,15 +128,11 @@ def _halves(pages: Column, bit: Column) -> Column:
     )
 
 
-def with_difference(df: DataFrame, left: str, right: str, name: str) -> DataFrame:
-    """Adds `name` (left, right): the digests that only one of two digest sets has, recovered by peeling."""
-    bits, todo, tried = f"__{name}_bits", f"__{name}_todo", f"__{name}_tried"
-    items = F.size(left) + F.size(right)
-    df = df.withColumn(bits, F.ceil(F.log2(F.greatest(F.lit(1.0), items / PAGE_ITEMS))).cast("int"))
-    dealing = F.when(F.col(bits) > 0, F.sequence(F.lit(0), F.col(bits) - 1)).otherwise(F.array().cast(NUMBERS))
-    first = F.array(_pair(F.col(left), F.col(right)))
-    df = df.withColumn(todo, F.aggregate(dealing, first, lambda pages, b: _halves(pages, b + FIRST_BIT)))
-    only_left, only_right = [], []
+def difference(pair: Column) -> Column:
+    """(left, right): the digests that only one of two digest sets has, recovered by peeling."""
+    none = F.array().cast(KEYS)
+    items = F.size(pair["left"]) + F.size(pair["right"])
+    enough = F.ceil(F.log2(F.greatest(F.lit(1.0), items / PAGE_ITEMS))).cast("int")
 
     def attempt(page: Column) -> Column:
         most = F.least(F.lit(2 * CELLS), F.size(page["left"]) + F.size(page["right"]))
@@ -151,26 +147,49 @@ def with_difference(df: DataFrame, left: str, right: str, name: str) -> DataFram
             ),
         )
 
-    for retry in range(RETRIES):
-        now = f"{tried}{retry}"
-        df = df.withColumn(now, F.transform(todo, attempt))
-        done = F.filter(now, lambda t: t["done"])
-        only_left.append(F.flatten(F.transform(done, lambda t: t["left"])))
-        only_right.append(F.flatten(F.transform(done, lambda t: t["right"])))
-        larger = F.transform(F.filter(now, lambda t: ~t["done"]), lambda t: t["page"])
-        for bit in range(GROWTH_BITS):
-            larger = _halves(larger, F.col(bits) + (FIRST_BIT + retry * GROWTH_BITS + bit))
-        df = df.withColumn(f"{todo}{retry}", larger)
-        todo = f"{todo}{retry}"
-    only_left.append(F.flatten(F.transform(todo, lambda p: F.array_except(p["left"], p["right"]))))
-    only_right.append(F.flatten(F.transform(todo, lambda p: F.array_except(p["right"], p["left"]))))
-    df = df.withColumn(name, F.struct(F.concat(*only_left).alias("left"), F.concat(*only_right).alias("right")))
-    return df.drop(*[c for c in df.columns if c.startswith(f"__{name}_")])
-
-
-def likeness(left: Column, right: Column, difference: Column) -> Column:
+    def larger(tried: Column, bit: Column) -> Column:
+        pages = F.transform(F.filter(tried, lambda t: ~t["done"]), lambda t: t["page"])
+        for more in range(GROWTH_BITS):
+            pages = _halves(pages, bit + more)
+        return pages
+
+    def keep(tried: Column, side: str) -> Column:
+        return F.flatten(F.transform(F.filter(tried, lambda t: t["done"]), lambda t: t[side]))
+
+    def retry(s: Column, bit: Column) -> Column:
+        after = _let(
+            F.transform(s["todo"], attempt),
+            lambda tried: F.struct(
+                larger(tried, bit).alias("todo"),
+                F.concat(s["left"], keep(tried, "left")).alias("left"),
+                F.concat(s["right"], keep(tried, "right")).alias("right"),
+            ),
+        )
+        return F.when(F.size(s["todo"]) == 0, s).otherwise(after)
+
+    def finish(s: Column) -> Column:
+        left = F.flatten(F.transform(s["todo"], lambda p: F.array_except(p["left"], p["right"])))
+        right = F.flatten(F.transform(s["todo"], lambda p: F.array_except(p["right"], p["left"])))
+        return F.struct(F.concat(s["left"], left).alias("left"), F.concat(s["right"], right).alias("right"))
+
+    def run(bits: Column) -> Column:
+        dealing = F.when(bits > 0, F.sequence(F.lit(0), bits - 1)).otherwise(F.array().cast(NUMBERS))
+        pages = F.aggregate(dealing, F.array(_pair(pair["left"], pair["right"])), lambda ps, b: _halves(ps, b + FIRST_BIT))
+        first = bits + FIRST_BIT
+        tries = F.sequence(first, first + GROWTH_BITS * (RETRIES - 1), F.lit(GROWTH_BITS))
+        return F.aggregate(tries, F.struct(pages.alias("todo"), none.alias("left"), none.alias("right")), retry, finish)
+
+    return _let(enough, run)
+
+
+def differences(sets: Column, others: list[Column]) -> Column:
+    """The difference of a digest set to each of the others."""
+    return F.transform(F.array(*[_pair(sets, other) for other in others]), difference)
+
+
+def likeness(left: Column, right: Column, apart_sets: Column) -> Column:
     """Shared paragraphs over all paragraphs, from the sizes of two sets and their recovered difference."""
-    apart = F.size(difference["left"]) + F.size(difference["right"])
+    apart = F.size(apart_sets["left"]) + F.size(apart_sets["right"])
     shared = (F.size(left) + F.size(right) - apart) / 2
     return F.when(shared + apart > 0, shared / (shared + apart)).otherwise(F.lit(1.0))
 
@@ -214,13 +233,13 @@ def compare_with_edits(docs: DataFrame) -> DataFrame:
     sets = texts.select(
         "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "own", digests(F.col("edited")).alias("edited"), "next"
     )
-    both = with_difference(with_difference(sets, "own", "edited", "edit"), "own", "next", "step")
+    both = sets.withColumn("apart", differences(F.col("own"), [F.col("edited"), F.col("next")]))
     return both.select(
         "doc_id",
         "n_chars",
         "edited_sha256",
         fingerprint(F.col("own")).alias("fingerprint"),
         fingerprint(F.col("edited")).alias("edited_fingerprint"),
-        likeness(F.col("own"), F.col("edited"), F.col("edit")).alias("near_edited"),
-        likeness(F.col("own"), F.col("next"), F.col("step")).alias("near_next"),
+        likeness(F.col("own"), F.col("edited"), F.col("apart")[0]).alias("near_edited"),
+        likeness(F.col("own"), F.col("next"), F.col("apart")[1]).alias("near_next"),
     )
