@@ -1,0 +1,77 @@
+import zlib
+
+import numpy as np
+from hypothesis import given, settings, strategies as st
+
+from wardenlake.llm import language_spans
+from wardenlake.llm.catalog import op8_language_spans
+
+SF = "/root/testdata/sf0.01"
+
+
+def one_by_one(scores, penalty):
+    best, back = scores[0].astype(float), []
+    for row in scores[1:]:
+        options = best[:, None] - penalty * (1 - np.eye(len(row)))
+        back.append(options.argmax(axis=0))
+        best = options.max(axis=0) + row
+    return best.max()
+
+
+def worth(scores, path, penalty):
+    return scores[np.arange(len(path)), path].sum() - penalty * (np.diff(path) != 0).sum()
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.sampled_from([0, 1, 2, 127, 128, 129, 300, 700]), min_size=1, max_size=8), st.integers(1, 5), st.integers(0, 99))
+def test_best_paths(sizes, labels, seed):
+    rng = np.random.default_rng(seed)
+    first = np.concatenate([[0], np.cumsum(sizes)])
+    scores = -rng.exponential(3, (int(first[-1]), labels)).astype(np.float32)
+    found = language_spans.viterbi(scores, first, 4.0)
+    for s, e in zip(first[:-1], first[1:]):
+        if e > s:
+            assert abs(worth(scores[s:e], found[s:e], 4.0) - one_by_one(scores[s:e], 4.0)) < 1e-2
+
+
+def test_held_out_accuracy(spark):
+    rows = op8_language_spans(spark, SF).collect()
+    docs = {r["doc_id"]: r for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    assert len(rows) == len(docs)
+    for r in rows:
+        assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2) and 0 <= r["score"] <= 1
+    unseen = [r for r in rows if r["held_out"]]
+    assert np.mean([r["lang_pred"] == docs[r["doc_id"]]["lang"] for r in unseen]) > 0.98
+
+
+ROWS = [
+    (1, "the house and the garden are old and the river is wide", "en"), (3, "le chat est dans la maison avec les enfants", "fr"),
+    (5, "где находится старый дом и широкая река", "ru"), *((i, "широкая река и старый дом", "ru") for i in range(20, 24)), (6, None, "en"), (7, "", "en"), (8, "12 !? 34", "fr"), (None, "the river", None),
+    (9, "日本語", None), (10, "река", None), (11, "the house " * 3000, "en"), (11, "the house " * 3000, "en"),
+]
+
+
+def test_odd_rows(spark):
+    docs = spark.createDataFrame([(*r, "en") for r in ROWS], "doc_id long, text string, lang string, score string")
+    got = {}
+    for r in language_spans.predict_documents(docs).collect():
+        got.setdefault(r["doc_id"], []).append((r["lang_pred"], r["score"]))
+    for nothing in (6, 7, 8):
+        assert got[nothing] == [("und", 0.0)]
+    assert got[10] == [("ru", 1.0)] and len(got[11]) == 2 and got[None][0][0] == "en" and got[9][0][1] <= 1
+
+
+def test_nothing_to_learn_from(spark):
+    docs = spark.createDataFrame([(1, "text", None)], "doc_id long, text string, lang string")
+    assert [tuple(r)[2:] for r in language_spans.predict_documents(docs).collect()] == [("und", 0.0)]
+    assert language_spans.predict_documents(docs.limit(0)).collect() == []
+
+
+def test_spans_of_a_mixed_text(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = language_spans.train(docs)
+    en, fr = (docs.where(f"lang = '{x}' AND n_chars > 500 AND doc_id % 7 = 3").orderBy("doc_id").first()["text"][:400] for x in ("en", "fr"))
+    mixed = spark.createDataFrame([(f"{en}\n{fr}\n{en}",)], "text string")
+    found = mixed.select(language_spans.spans("text", model).alias("s")).first()["s"]
+    assert [s["lang"] for s in found] == ["en", "fr", "en"]
+    assert abs(len(found[1]["text"]) - 400) < 40

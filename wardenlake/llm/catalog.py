@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from wardenlake.llm import byte_bpe, histogram_shards, paragraph_sketch, token_files, warc, whole_tokens
+from wardenlake.llm import byte_bpe, histogram_shards, language_spans, paragraph_sketch, token_files, warc, whole_tokens
 from wardenlake.llm.batches import table
 
 
@@ -26,6 +26,10 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip_digests(table(spark, sf_dir, "documents"), ranks)
 
 
+def op8_language_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_spans.predict_documents(table(spark, sf_dir, "documents"))
+
+
 def op9_whole_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = public_tokenizers.path("word_bpe_49k.json")
     return whole_tokens.count_documents(table(spark, sf_dir, "documents"), words)
@@ -40,6 +44,7 @@ QUERIES = {
     "op3_histogram_shards": op3_histogram_shards,
     "op4_token_files": op4_token_files,
     "op5_byte_bpe": op5_byte_bpe,
+    "op8_language_spans": op8_language_spans,
     "op9_whole_tokens": op9_whole_tokens,
     "op10_warc": op10_warc,
 }
