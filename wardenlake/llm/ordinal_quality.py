@@ -127,7 +127,7 @@ def fit(rows: np.ndarray, places: np.ndarray, grades: np.ndarray) -> Model:
     m = len(columns)
     now = np.concatenate([np.zeros(m), [start[0]], np.log(np.maximum(1e-3, np.diff(start)))])
     reach = (np.log(n / np.maximum(1, np.bincount(at, minlength=m))) + 0.1) ** 2
-    spread = np.bincount(rows, weights=reach[at], minlength=n)
+    spread = np.bincount(rows, weights=reach[at], minlength=n).astype(float)  # whole numbers if no place is left
     tenth = 0.1 * spread.mean() + 1
     spread += (GRADES - 1) * tenth
     curve = np.full(len(now), 0.5 * spread.mean() / tenth)
