@@ -80,9 +80,9 @@ def subtract(left: Column, right: Column) -> Column:
 
 
 def peel(cells: Column, most: Column) -> Column:
-    """(cells, left, right): digests recovered in at most `most` steps, and what couldn't be peeled."""
+    """(cells, left, right, idle): digests recovered in at most `most` steps, and what couldn't be peeled."""
     none = F.array().cast(KEYS)
-    state = F.struct(cells.alias("cells"), none.alias("left"), none.alias("right"))
+    state = F.struct(cells.alias("cells"), none.alias("left"), none.alias("right"), F.lit(False).alias("idle"))
 
     def take(s: Column, pure: Column) -> Column:
         n, key = pure["n"], pure["key"]
@@ -101,11 +101,16 @@ def peel(cells: Column, most: Column) -> Column:
             F.transform(s["cells"], without).alias("cells"),
             F.when(n > 0, F.concat(s["left"], F.array(key))).otherwise(s["left"]).alias("left"),
             F.when(n < 0, F.concat(s["right"], F.array(key))).otherwise(s["right"]).alias("right"),
+            F.lit(False).alias("idle"),
         )
 
+    def rest(s: Column) -> Column:
+        return F.struct(s["cells"].alias("cells"), s["left"].alias("left"), s["right"].alias("right"), F.lit(True).alias("idle"))
+
     def step(s: Column, _: Column) -> Column:
         pure = F.filter(s["cells"], lambda c: (F.abs(c["n"]) == 1) & (_check(c["key"]) == c["check"]))
-        return _let(pure, lambda found: F.when(F.size(found) > 0, take(s, F.get(found, F.lit(0)))).otherwise(s))
+        taken = _let(pure, lambda found: F.when(F.size(found) > 0, take(s, F.get(found, F.lit(0)))).otherwise(rest(s)))
+        return F.when(s["idle"], s).otherwise(taken)
 
     steps = F.when(most > 0, F.sequence(F.lit(1), most)).otherwise(F.array().cast(NUMBERS))
     return F.aggregate(steps, state, step)
