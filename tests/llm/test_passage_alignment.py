@@ -1,0 +1,81 @@
+import random
+import re
+
+import numpy as np
+import pytest
+
+from wardenlake.llm import passage_alignment
+from wardenlake.llm.catalog import op6_passage_alignment
+
+
+def words(text):
+    return re.findall(r"[^\W_]+", (text or "").lower())
+
+
+def score(item, text):
+    """Smith-Waterman over whole texts, cell by cell."""
+    a, b = words(item), words(text)
+    h = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+    best = 0
+    for i, x in enumerate(a, 1):
+        for j, y in enumerate(b, 1):
+            h[i][j] = max(0, h[i - 1][j - 1] + (2 if x == y else -1), h[i - 1][j] - 1, h[i][j - 1] - 1)
+            best = max(best, h[i][j])
+    return best / (2 * len(a)) if len(a) >= 3 else 0
+
+
+def random_text(rng, n):
+    return " ".join(rng.choice(["the", "of", "and", "a", *map(str, range(400))]) for _ in range(n))
+
+
+def edited(rng, text):
+    out = []
+    for w in text.split():
+        x = rng.random()
+        out += [] if x < 0.05 else [w, "new"] if x < 0.1 else ["other"] if x < 0.15 else [w.upper() + ","]
+    return " ".join(out)
+
+
+def test_same_as_brute_force(spark, tmp_path):
+    rng = random.Random(5)
+    items = [(i, random_text(rng, rng.randrange(20, 80))) for i in range(12)] + [(12, None), (13, ""), (14, "two words"), (15, "tick tock tick")]
+    docs = []
+    for i in range(60):
+        parts = [random_text(rng, rng.randrange(5, 150))]
+        for _ in range(rng.randrange(3)):
+            source = rng.choice(items[:12])[1]
+            parts += [rng.choice([source, edited(rng, source), " ".join(source.split()[: len(source.split()) // 3])]), random_text(rng, 20)]
+        docs.append((i, "\n".join(parts)))
+    docs += [(100, None), (101, ""), (102, "Tick, tock. Tick!"), (103, items[0][1]), (103, items[0][1])]
+    spark.createDataFrame([(*d, 9) for d in docs], "doc_id long, text string, item_id int").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    rows = op6_passage_alignment(spark, str(tmp_path)).collect()
+    got = {(r["doc_id"], r["item_id"]): r["score"] for r in rows}
+    want = {(d, i): s for d, t in docs for i, x in items if x and (s := score(x, t)) >= 0.5}
+    assert len(rows) == len(got) and len(want) > 40
+    assert got == pytest.approx(want)
+    blocks = passage_alignment.contaminated(
+        spark.read.parquet(f"{tmp_path}/documents.parquet"), spark.read.parquet(f"{tmp_path}/benchmark.parquet"), block_bytes=600
+    )
+    assert {(r["doc_id"], r["item_id"]): r["score"] for r in blocks.collect()} == got
+
+
+def test_items_with_only_frequent_words_have_seeds(spark):
+    text = "the of the of and the of and the of"
+    docs = spark.createDataFrame([(i, f"{text} the and") for i in range(50)], "doc_id long, text string")
+    items = spark.createDataFrame([(1, text)], "item_id long, text string")
+    assert passage_alignment.contaminated(docs, items).count() == 50
+
+
+def test_empty_tables(spark):
+    docs = spark.createDataFrame([], "doc_id long, text string")
+    items = spark.createDataFrame([], "item_id long, text string")
+    one = spark.createDataFrame([(1, "a b c d")], "item_id long, text string")
+    assert passage_alignment.contaminated(docs, items).collect() == []
+    assert passage_alignment.contaminated(docs, one).collect() == []
+
+
+def test_ngrams_stay_inside_texts():
+    hashes, first = passage_alignment.words(["a b c d", "", "e f", "a b c"])
+    grams, at = passage_alignment.ngrams(hashes, first)
+    assert at.tolist() == [0, 1, 6] and grams[0] == grams[2] and np.unique(grams).size == 2

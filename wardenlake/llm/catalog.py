@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from wardenlake.llm import byte_bpe, histogram_shards, language_spans, ordinal_quality, paragraph_sketch, token_files, warc, whole_tokens
+from wardenlake.llm import byte_bpe, histogram_shards, language_spans, ordinal_quality, paragraph_sketch, passage_alignment, token_files, warc, whole_tokens
 from wardenlake.llm.batches import table
 
 
@@ -26,6 +26,10 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip_digests(table(spark, sf_dir, "documents"), ranks)
 
 
+def op6_passage_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passage_alignment.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ordinal_quality.rate_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -48,6 +52,7 @@ QUERIES = {
     "op3_histogram_shards": op3_histogram_shards,
     "op4_token_files": op4_token_files,
     "op5_byte_bpe": op5_byte_bpe,
+    "op6_passage_alignment": op6_passage_alignment,
     "op7_ordinal_quality": op7_ordinal_quality,
     "op8_language_spans": op8_language_spans,
     "op9_whole_tokens": op9_whole_tokens,

@@ -153,18 +153,18 @@ def word_level(texts: Sequence[str]) -> Chunk:
     return _finish(joined, points, starts[kept], ends[kept], text_ends)
 
 
-def pieces(texts: Iterable[str | None], size: int = CHUNK_CHARS) -> Iterator[tuple[list[str], np.ndarray]]:
+def pieces(texts: Iterable[str | None], size: int = CHUNK_CHARS, cut: bool = True) -> Iterator[tuple[list[str], np.ndarray]]:
     """Chunks of at most about `size` characters: parts of texts, and the number of the text of each.
 
     A longer text is cut before a blank that stands between two characters which aren't white space; no
-    token goes across such a place. A text without one stays whole.
+    token goes across such a place. A text without one stays whole, and so do all without `cut`.
     """
     parts, owners, room = [], [], size
     for owner, text in enumerate(texts):
         text, start = text or "", 0
         while True:
             end = len(text)
-            if end - start > size:
+            if cut and end - start > size:
                 end = _cut(text, start + size)
             if parts and end - start > room:
                 yield parts, np.array(owners)
