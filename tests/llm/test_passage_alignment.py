@@ -4,7 +4,7 @@ import re
 import numpy as np
 import pytest
 
-from wardenlake.llm import passage_alignment
+from wardenlake.llm import passage_alignment, word_ngrams
 from wardenlake.llm.catalog import op6_passage_alignment
 
 
@@ -76,6 +76,6 @@ def test_empty_tables(spark):
 
 
 def test_ngrams_stay_inside_texts():
-    hashes, first = passage_alignment.words(["a b c d", "", "e f", "a b c"])
-    grams, at = passage_alignment.ngrams(hashes, first)
+    hashes, first = word_ngrams.words(["a b c d", "", "e f", "a b c"])
+    grams, at = word_ngrams.ngrams(hashes, first, 3)
     assert at.tolist() == [0, 1, 6] and grams[0] == grams[2] and np.unique(grams).size == 2

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from wardenlake.llm import byte_bpe, histogram_shards, language_spans, ordinal_quality, paragraph_sketch, passage_alignment, token_files, warc, whole_tokens
+from wardenlake.llm import byte_bpe, histogram_shards, language_spans, ngram_jaccard, ordinal_quality, paragraph_sketch, passage_alignment, token_files, warc, whole_tokens
 from wardenlake.llm.batches import table
 
 
@@ -13,6 +13,10 @@ def op1_paragraph_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return paragraph_sketch.compare_with_edits(table(spark, sf_dir, "documents"))
 
 
+def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_jaccard.jaccard_join(table(spark, sf_dir, "documents"))
+
+
 def op3_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return histogram_shards.shard_documents(table(spark, sf_dir, "documents"))
 
@@ -49,6 +53,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_paragraph_sketch": op1_paragraph_sketch,
+    "op2_ngram_jaccard": op2_ngram_jaccard,
     "op3_histogram_shards": op3_histogram_shards,
     "op4_token_files": op4_token_files,
     "op5_byte_bpe": op5_byte_bpe,

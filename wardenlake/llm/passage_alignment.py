@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wardenlake.llm import pretokens
+from wardenlake.llm.word_ngrams import ngrams, words
 
 SEED_WORDS = 3
 WINDOW = 6
@@ -34,32 +35,6 @@ CELLS_AT_ONCE = 1 << 21
 MATCH, OTHER, GAP = 2, -1, -1
 
 
-def words(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words of some texts; the first word of each text, and past the last."""
-    joined, points, text_ends = pretokens.code_points([t.lower() for t in texts])
-    kinds = pretokens.char_classes()[points]
-    inside = (kinds == pretokens.LETTER) | (kinds == pretokens.NUMBER)
-    change = np.flatnonzero(np.diff(inside, prepend=False, append=False))
-    starts, ends = change[::2], change[1::2]
-    return pretokens.span_hashes(points, starts, ends), np.concatenate([[0], np.searchsorted(starts, text_ends)])
-
-
-def ngrams(hashes: np.ndarray, first: np.ndarray, n: int = SEED_WORDS) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all n consecutive words within a text; the position of the first word of each."""
-    if len(hashes) < n:
-        return np.empty(0, np.uint64), np.empty(0, np.int64)
-    total = len(hashes) - n + 1
-    mixed = np.zeros(total, np.uint64)
-    for i in range(n):
-        mixed = (mixed ^ hashes[i : i + total]) * np.uint64(0x9FB21C651E98DF25 + 2 * i)
-        mixed ^= mixed >> np.uint64(29)
-    whole = np.ones(total, bool)
-    for end in first[1:-1]:
-        whole[max(0, end - n + 1) : min(end, total)] = False
-    at = np.flatnonzero(whole)
-    return mixed[at], at
-
-
 @dataclass
 class Items:
     """Test items of one block, as arrays."""
@@ -89,7 +64,7 @@ def count_ngrams(docs: DataFrame, wanted: np.ndarray) -> dict[int, int]:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, found = sent.value, np.zeros(len(sent.value), np.int64)
         for _, _, hashes, first in _rows(batches):
-            grams, _ = ngrams(hashes, first)
+            grams, _ = ngrams(hashes, first, SEED_WORDS)
             place = np.minimum(np.searchsorted(known, grams), len(known) - 1)
             found += np.bincount(place[known[place] == grams], minlength=len(known))
         some = np.flatnonzero(found)
@@ -101,7 +76,7 @@ def count_ngrams(docs: DataFrame, wanted: np.ndarray) -> dict[int, int]:
 
 def choose_seeds(ids: list, texts: list[str], docs: DataFrame) -> Items:
     hashes, first = words(texts)
-    grams, at = ngrams(hashes, first)
+    grams, at = ngrams(hashes, first, SEED_WORDS)
     wanted = np.unique(grams)
     counts = count_ngrams(docs, wanted) if len(wanted) else {}
     often = np.array([counts.get(int(g), 0) for g in grams], np.int64)
@@ -145,7 +120,7 @@ def align(items: np.ndarray, passages: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 def _candidates(items: Items, hashes: np.ndarray, first: np.ndarray) -> list[tuple[int, int, int, int]]:
     """(text, item, from word, to word): passages around seed hits, those on neighbouring diagonals together."""
-    grams, at = ngrams(hashes, first)
+    grams, at = ngrams(hashes, first, SEED_WORDS)
     low = np.searchsorted(items.seeds, grams, side="left")
     counts = np.searchsorted(items.seeds, grams, side="right") - low
     hit = np.flatnonzero(counts)
