@@ -51,7 +51,7 @@ def test_pieces_of_a_long_text_count_once(monkeypatch):
     model = ordinal_quality.Model(np.random.default_rng(0).normal(size=1 << 18), np.zeros(2))
     places = set()
     text = "alpha beta gamma. " * 400
-    monkeypatch.setattr(pretokens.pieces, "__defaults__", (500,))
+    monkeypatch.setattr(pretokens.pieces, "__defaults__", (500, True))
     monkeypatch.setattr(pretokens, "CHUNK_CHARS", 500)
     for _, place in ordinal_quality._texts([text]):
         places |= set(place.tolist())
