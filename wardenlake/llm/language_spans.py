@@ -27,6 +27,7 @@ PENALTY = 6.0
 MOST_A_WORD = 6.0
 PIECE = 128
 SCRIPT_SHARE = 0.01
+LEAST_SHARE = 0.5
 UNKNOWN = "und"
 
 # First code points of ranges with one script each; what is between two entries has the first one's.
@@ -291,6 +292,13 @@ def _send(model: Model):
     return SparkSession.active().sparkContext.broadcast(model)
 
 
+def with_language(docs: DataFrame, least: float = LEAST_SHARE, rows: int = TRAIN_ROWS) -> DataFrame:
+    """The documents that have a language with at least `least` of their letters, as they are."""
+    guess = predicted("text", train(docs, rows))
+    marked = docs.withColumn("__guess", guess)
+    return marked.where((F.col("__guess.lang") != UNKNOWN) & (F.col("__guess.score") >= least)).select(*docs.columns)
+
+
 def predict_documents(docs: DataFrame, rows: int = TRAIN_ROWS) -> DataFrame:
     """doc_id, held_out, lang_pred, score; learned from the documents that aren't held out."""
     guess = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), predicted("text", train(docs, rows)).alias("guess"))

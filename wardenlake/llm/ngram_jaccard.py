@@ -310,3 +310,14 @@ def jaccard_join(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     zero = F.lit(0).cast("long")
     alone = signed.where("node IS NULL").select("doc_id", F.col("doc_id").alias("class_id"), zero.alias("links"), zero.alias("copies"))
     return linked.unionByName(alone)
+
+
+def one_of_each(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """One document of every class, that with the smallest id, and each repeated row once.
+
+    Documents without an id are no class's choice; of those with the same text one stays.
+    """
+    classes = jaccard_join(docs, threshold)
+    chosen = classes.where("doc_id = class_id").select(F.col("doc_id").alias("__chosen")).distinct()
+    kept = docs.join(chosen, F.col("doc_id") == F.col("__chosen"), "left_semi").dropDuplicates(["doc_id", "text"])
+    return kept.unionByName(docs.where("doc_id IS NULL").dropDuplicates(["text"]))

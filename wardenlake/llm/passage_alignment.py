@@ -21,7 +21,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from wardenlake.llm import pretokens
 from wardenlake.llm.word_ngrams import ngrams, words
@@ -220,3 +220,31 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
         union = union.unionByName(more)
     best = F.max(F.struct("score", "last_word")).alias("best")
     return union.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "best.score", "best.last_word")
+
+
+def largest_share(text: str | Column, items: Items) -> Column:
+    """The largest share of any of the items that a STRING column has, DOUBLE; 0 for texts without a candidate."""
+    sent = SparkSession.active().sparkContext.broadcast(items)
+
+    @F.arrow_udf("double")
+    def share(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            most = np.zeros(len(batch))
+            for parts, owners in pretokens.pieces(batch.to_pylist(), cut=False):
+                hashes, first = words(parts)
+                found = _candidates(sent.value, hashes, first)
+                scores, _ = _score(sent.value, hashes, found)
+                np.maximum.at(most, owners[[c[0] for c in found]] if found else np.empty(0, np.int64), scores)
+            yield pa.array(most, pa.float64())
+
+    return share(text)
+
+
+def without_contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """The documents that have less than `threshold` of every item, as they are; no row moves."""
+    kept = docs
+    for ids, texts in _blocks(benchmark, block_bytes):
+        items = choose_seeds(ids, texts, docs)
+        if len(items.seeds):
+            kept = kept.where(largest_share("text", items) < threshold)
+    return kept
