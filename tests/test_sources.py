@@ -13,6 +13,14 @@ def write_csv(path, text):
     return str(path)
 
 
+def test_csv_files_with_other_headers_are_refused(spark, tmp_path):
+    (tmp_path / "many").mkdir()
+    write_csv(tmp_path / "many" / "a.csv", "Time,Amount,Class\n1,2,0\n")
+    write_csv(tmp_path / "many" / "b.csv", "Amount,Time,Class\n200,2,0\n")
+    with pytest.raises(Exception, match="header|Header"):
+        transactions.load_transactions(spark, str(tmp_path / "many")).collect()
+
+
 def test_csv_columns_in_any_order(spark, tmp_path):
     path = write_csv(tmp_path / "a.csv", "Class,Amount,V1,Time\n1,2.5,0.1,10\n0,3,,20\n")
     df = transactions.load_transactions(spark, path)

@@ -40,8 +40,7 @@ class Settings:
     psi_bins: int = 10
 
     # explanation
-    shap_samples: int = 500
-    shap_permutations: int = 20
+    shap_permutations: int = 100
 
 
 DEFAULTS = Settings()

@@ -8,7 +8,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from wardenlake.operators.projections import align_schema, argmax_prediction, complement, label_text
-from wardenlake.schema import FEATURES, KEY, record_schema
+from wardenlake.schema import FEATURES, KEY
 
 
 def positive_score(df: DataFrame, probability: str = "probability", prediction: str = "prediction") -> Column:
@@ -36,9 +36,9 @@ def score_batch(model, df: DataFrame, features=FEATURES, keep=(KEY,)) -> DataFra
 
 def predict_single(spark: SparkSession, model, record: Mapping, features=FEATURES) -> DataFrame:
     """One record through the batch path."""
-    given = {c: float(record[c]) if record.get(c) is not None else 0.0 for c in features}
-    row = spark.createDataFrame([(int(record.get(KEY) or 0), *[given.get(c, 0.0) for c in FEATURES])], record_schema())
-    return score_batch(model, row.select(KEY, *[c for c in features if c in FEATURES]), features)
+    given = [float(record[c]) if record.get(c) is not None else 0.0 for c in features]
+    schema = T.StructType([T.StructField(KEY, T.LongType()), *[T.StructField(c, T.DoubleType()) for c in features]])
+    return score_batch(model, spark.createDataFrame([(int(record.get(KEY) or 0), *given)], schema), features)
 
 
 def logistic_score(df: DataFrame, intercept: float, coefficients: Mapping[str, float]) -> DataFrame:

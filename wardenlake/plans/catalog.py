@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wardenlake.config import DEFAULTS
+from wardenlake.config import DEFAULTS, SearchSpace
 from wardenlake.functions.hashing import hash_key, unit_interval
 from wardenlake.functions.storage import materialize, new_folder, spread
 from wardenlake.models import training
@@ -408,9 +408,8 @@ def shap_permutation(spark, sf_dir):
         cells = vector_to_array("features")
         return table.withColumn("score", sum((F.lit(b) * cells[i] for i, b in enumerate(LINEAR.values())), F.lit(0.0)))
 
-    sample = sampling.seeded_sample(rows, DEFAULTS.shap_samples)
-    background = explain.background_rows(rows, 20, 43)
-    return rounded(explain.shapley_values(sample, background, margin, list(LINEAR)))
+    background = explain.background_rows(rows, DEFAULTS.shap_permutations, 43)
+    return rounded(explain.shapley_values(rows, background, margin, list(LINEAR), DEFAULTS.shap_permutations))
 
 
 # ---- registry --------------------------------------------------------------------------------
@@ -521,8 +520,13 @@ class PublishedModel:
 
 
 def _events_stream(spark, sf_dir):
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    return spark.readStream.schema(events.schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    """The events as a stream of files, whether the table is a directory of parts or a single file."""
+    path = f"{sf_dir}/events.parquet"
+    stream = spark.readStream.schema(spark.read.parquet(path).schema)
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if place.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(place).isDirectory():
+        return stream.parquet(path)
+    return stream.option("pathGlobFilter", "events.parquet").parquet(sf_dir)
 
 
 def _stream_folders(spark):
@@ -551,11 +555,11 @@ def streamed_scores(spark, sf_dir):
 
 @query
 def streamed_flags(spark, sf_dir):
-    """Periods the watermark has closed; the last ones of the table stay open."""
+    """All periods, added up over the micro-batches."""
     out, checkpoint = _stream_folders(spark)
     flagged = _events_stream(spark, sf_dir).select("ts", (F.col("value") >= 100).cast("int").alias("prediction"))
     _finish(streams.flag_rate_stream(flagged, out, checkpoint))
-    return _periods(spark.read.parquet(out))
+    return _periods(streams.read_flag_rates(spark, out))
 
 
 @query
@@ -630,9 +634,8 @@ def cross_validation(spark, sf_dir):
 @query
 def random_search(spark, sf_dir):
     train, _ = _train_test(spark, sf_dir)
-    space = {"n_estimators": [10, 20], "max_depth": [5, 10], "min_samples_leaf": [1, 4]}
     estimator = training.champion(train)
-    return training.random_search(train, estimator, space, training.forest_params, n_iter=3, folds=3)[2]
+    return training.random_search(train, estimator, SearchSpace().forest, training.forest_params)[2]
 
 
 @query

@@ -303,10 +303,9 @@ ORACLE = {
         WHERE tx_id = 7 ORDER BY abs(phi.phi) DESC, feature LIMIT 15""",
     "shap_long": f"""WITH {PHI} SELECT feature, tx_id, {r6('value')}, round(phi.phi, 6) + 0.0 AS phi, rank FROM phi
         JOIN ranked USING (feature) WHERE rank <= 3""",
-    "shap_permutation": f"""WITH {TX}, picked AS (SELECT * FROM tx ORDER BY md5(tx_id::VARCHAR || '|42') LIMIT 500),
-        base AS (SELECT * FROM tx ORDER BY md5(tx_id::VARCHAR || '|43') LIMIT 20) """
+    "shap_permutation": f"""WITH {TX}, base AS (SELECT * FROM tx ORDER BY md5(tx_id::VARCHAR || '|43') LIMIT 100) """
     + " UNION ALL ".join(
-        f"SELECT tx_id, '{c}' AS feature, round({b}::DOUBLE * ({c} - (SELECT avg({c}) FROM base)), 6) + 0.0 AS phi FROM picked"
+        f"SELECT tx_id, '{c}' AS feature, round({b}::DOUBLE * ({c} - (SELECT avg({c}) FROM base)), 6) + 0.0 AS phi FROM tx"
         for c, b in LINEAR.items()
     ),
     "registry_list": f"WITH {ENTRIES} SELECT {ENTRY} FROM entries",
@@ -329,8 +328,7 @@ ORACLE = {
     "streamed_flags": """WITH h AS (SELECT date_trunc('hour', ts) AS start, count(*) AS n, count(*) FILTER (WHERE value >= 100) AS f
           FROM events GROUP BY 1)
         SELECT strftime(start, '%Y-%m-%d %H:%M:%S') AS window_start, strftime(start + INTERVAL 1 HOUR, '%Y-%m-%d %H:%M:%S') AS window_end,
-          n AS total_transactions, f AS total_flagged_frauds FROM h
-        WHERE start + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)""",
+          n AS total_transactions, f AS total_flagged_frauds FROM h""",
     "streamed_drift": f"WITH {STREAMED_DRIFT} SELECT *, 0::BIGINT AS batch_id FROM drift",
     "soft_vote_scores": f"""WITH {TX}, m AS (SELECT tx_id, {unit("tx_id::VARCHAR || '|100'")} AS lr, {unit("tx_id::VARCHAR || '|101'")} AS rf,
           {unit("tx_id::VARCHAR || '|102'")} AS gbt FROM tx),

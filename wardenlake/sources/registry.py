@@ -6,6 +6,7 @@ whole entries only.
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
@@ -16,6 +17,7 @@ from wardenlake.schema import registry_schema
 LOG_SCHEMA = T.StructType(
     [T.StructField("seq", T.LongType(), False), T.StructField("deleted", T.BooleanType(), False)]
     + registry_schema().fields
+    + [T.StructField("written_at", T.TimestampType()), T.StructField("entry_id", T.StringType())]
 )
 
 
@@ -93,13 +95,15 @@ class ModelRegistry:
             return self.spark.createDataFrame([], LOG_SCHEMA)
 
     def entries(self) -> DataFrame:
-        newest = Window.partitionBy("version").orderBy(F.desc("seq"))
+        newest = Window.partitionBy("version").orderBy(F.desc("seq"), F.desc_nulls_last("written_at"), F.desc("entry_id"))
         latest = self._log().withColumn("at", F.row_number().over(newest)).where("at = 1 AND NOT deleted")
         return latest.select(*[f.name for f in registry_schema()])
 
     def _append(self, deleted: bool, version: str, at: datetime, *rest) -> None:
         seq = (self._log().agg(F.max("seq")).first()[0] or 0) + 1
-        row = self.spark.createDataFrame([(seq, deleted, version, at, *rest)], LOG_SCHEMA)
+        # two writers may take the same number: the later one counts
+        stamp = (datetime.now(timezone.utc), uuid.uuid4().hex)
+        row = self.spark.createDataFrame([(seq, deleted, version, at, *rest, *stamp)], LOG_SCHEMA)
         row.coalesce(1).write.mode("append").parquet(self.path)
 
     def _has(self, version: str) -> bool:
@@ -123,6 +127,15 @@ class ModelRegistry:
         )
         return True
 
+    def add_metrics(self, version: str, metrics) -> bool:
+        """False, and no change, if the version is unknown."""
+        known = self.get(version).first()
+        if known is None:
+            return False
+        every = {**(known["metrics"] or {}), **metrics}
+        given = (known["params"], known["model_path"], known["tags"], known["notes"])
+        return self.register(version, every, *given, overwrite=True, registered_at=known["registered_at"])
+
     def delete(self, version: str) -> bool:
         if not self._has(version):
             return False

@@ -10,15 +10,15 @@ from wardenlake.schema import KEY, LABEL, REQUIRED, nan_to_null, require_columns
 def load_transactions(spark: SparkSession, path: str, fmt: str = "csv", required=REQUIRED) -> DataFrame:
     """Scan a transaction table; every column is DOUBLE but the key and the label.
 
-    CSV columns may come in any order. Only the header line is read ahead: types are declared,
-    and a value that does not parse ends the job instead of turning into NULL. NaN becomes NULL;
+    CSV columns may come in any order, the same in all files of a path: a file with another header ends the job. Only the
+    header line is read ahead: types are declared, and a value that does not parse ends the job instead of turning into NULL. NaN becomes NULL;
     a landed table went through that once and needs no second pass (`spark.read`).
     """
     if fmt == "csv":
         header = require_columns(spark.read.option("header", True).csv(path), required).columns
         integral = {KEY: T.LongType(), LABEL: T.IntegerType()}
         schema = T.StructType([T.StructField(c, integral.get(c, T.DoubleType())) for c in header])
-        table = spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").csv(path)
+        table = spark.read.schema(schema).option("header", True).option("enforceSchema", False).option("mode", "FAILFAST").csv(path)
     else:
         table = require_columns(spark.read.format(fmt).load(path), required)
     return nan_to_null(table)
