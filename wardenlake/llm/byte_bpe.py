@@ -78,7 +78,7 @@ class Decoder:
         self.bytes = np.frombuffer(b"".join(t or b"" for t in by_id), np.uint8)
 
     def decode(self, raw: list[bytes | None]) -> list[bytes]:
-        out, at, room = [], 0, 1 << 22
+        out, at, room = [], 0, 1 << 20
         while at < len(raw):
             upto, total = at, 0
             while upto < len(raw) and (upto == at or total + len(raw[upto] or b"") <= room):

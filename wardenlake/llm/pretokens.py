@@ -15,8 +15,8 @@ import numpy as np
 import pandas as pd
 
 OTHER, LETTER, NUMBER, SPACE, END = range(5)
-CHUNK_CHARS = 1 << 20
-MEMO_ENTRIES = 1_500_000
+CHUNK_CHARS = 1 << 19
+MEMO_ENTRIES = 400_000
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -44,8 +44,8 @@ def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
 
 def powers(size: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the hash base and of its inverse modulo 2^64."""
-    room = 1 << max(21, (size - 1).bit_length())
-    return _powers(room) if room == 1 << 21 else _powers.__wrapped__(room)
+    room = 1 << max(20, (size - 1).bit_length())
+    return _powers(room) if room == 1 << 20 else _powers.__wrapped__(room)
 
 
 def mix(h: np.ndarray) -> np.ndarray:
