@@ -12,7 +12,8 @@ from wardenlake.models import training
 from wardenlake.models.stages import soft_vote
 from wardenlake.operators import cost, drift, explain, features, metrics, profile, projections, sampling, scoring, smote, thresholds
 from wardenlake.plans import runs
-from wardenlake.sources import bindings, registry
+from wardenlake.sources import bindings, registry, reports
+from wardenlake.sources.transactions import load_transactions, read_partition, write_partitions
 from wardenlake.streaming import scoring as streams
 
 QUERIES = {}
@@ -571,6 +572,79 @@ def streamed_drift(spark, sf_dir):
     return streams.read_drift(spark, out)
 
 
+# ---- sinks and sources -----------------------------------------------------------------------
+
+
+def _csv(df: DataFrame) -> str:
+    path = f"{new_folder(df.sparkSession)}/csv"
+    df.repartition(3).write.option("header", True).csv(path)
+    return path
+
+
+@query
+def csv_round_trip(spark, sf_dir):
+    """Written as CSV in several files and loaded again."""
+    tx = bindings.transactions(spark, sf_dir)
+    return rounded(load_transactions(spark, _csv(tx)).select(tx.columns))
+
+
+@query
+def csv_upload_scores(spark, sf_dir):
+    """An uploaded CSV keeps its columns beside the scores."""
+    records = bindings.transactions(spark, sf_dir).drop("Class")
+    return rounded(runs.predict_run(spark, PublishedModel(), _csv(records), list(COEFFICIENTS)))
+
+
+@query
+def partition_round_trip(spark, sf_dir):
+    """Train and test rows from the directories they were written to."""
+    path = f"{new_folder(spark)}/parts"
+    write_partitions(sampling.stratified_split(bindings.transactions(spark, sf_dir)), path)
+    parts = [read_partition(spark, path, part).withColumn("split", F.lit(part)) for part in ("train", "test")]
+    return parts[0].unionByName(parts[1]).select("tx_id", "Class", "split")
+
+
+def _reported(spark, save) -> DataFrame:
+    path = f"{new_folder(spark)}/report"
+    save(path)
+    return spark.read.parquet(path).drop("report", "model_name", "generated_at", "reference_period", "current_period")
+
+
+@query
+def metrics_report(spark, sf_dir):
+    return _reported(spark, lambda path: reports.save_metrics_report(calculate_metrics(spark, sf_dir), "Published", path, "parquet"))
+
+
+@query
+def cost_report(spark, sf_dir):
+    return _reported(spark, lambda path: reports.save_cost_report(cost_curve(spark, sf_dir), "Published", path, "parquet"))
+
+
+@query
+def drift_report(spark, sf_dir):
+    return _reported(spark, lambda path: reports.save_drift_report(detect_drift(spark, sf_dir), path, fmt="parquet"))
+
+
+@query
+def registry_life_cycle(spark, sf_dir):
+    """Five entries are registered; one is refused, one overwritten, one deleted."""
+    kept = registry.ModelRegistry(spark, f"{new_folder(spark)}/registry")
+    for e in _entries(spark, sf_dir).collect():  # one row per fold
+        rest = (e["params"], e["model_path"], e["tags"], e["notes"])
+        first = {"f1": -1.0} if e["version"] == "fold_1" else e["metrics"]
+        kept.register(e["version"], first, *rest, registered_at=e["registered_at"])
+        kept.register(e["version"], e["metrics"], *rest, registered_at=e["registered_at"], overwrite=e["version"] == "fold_1")
+        kept.register(e["version"], {"f1": 2.0})
+    kept.delete("fold_0")
+    return _flat(kept.list_versions())
+
+
+@query
+def score_single_published(spark, sf_dir):
+    record = bindings.transactions(spark, sf_dir).orderBy(F.desc("Amount"), "tx_id").first().asDict()
+    return rounded(scoring.predict_single(spark, PublishedModel(), record, list(COEFFICIENTS)))
+
+
 # ---- fitted models ---------------------------------------------------------------------------
 
 

@@ -339,3 +339,19 @@ ORACLE = {
         strftime(date_trunc('hour', ts) + INTERVAL 1 HOUR, '%Y-%m-%d %H:%M:%S') AS window_end, count(*) AS total_transactions,
         sum(prediction)::BIGINT AS total_flagged_frauds FROM scored GROUP BY date_trunc('hour', ts)""",
 }
+
+SCORES_BESIDE = f"""WITH {TX}, s AS (SELECT *, 1.0::DOUBLE / (1.0::DOUBLE + exp(-({MARGIN}))) AS p FROM tx)
+  SELECT tx_id, {r6('Time')}, V1, V2, {r6('Amount')}, CASE WHEN p > 0.5 THEN 1 ELSE 0 END AS prediction_class,
+         CASE WHEN p > 0.5 THEN 'Fraudulent' ELSE 'Legitimate' END AS prediction_label,
+         round(p, 6) + 0.0 AS fraud_probability, round(1.0::DOUBLE - p, 6) + 0.0 AS legitimate_probability FROM s"""
+
+ORACLE |= {
+    "csv_round_trip": ORACLE["scan_transactions"],
+    "csv_upload_scores": SCORES_BESIDE,
+    "partition_round_trip": ORACLE["stratified_split"],
+    "metrics_report": ORACLE["calculate_metrics"],
+    "cost_report": ORACLE["cost_curve"],
+    "drift_report": ORACLE["detect_drift"],
+    "registry_life_cycle": f"WITH {ENTRIES} SELECT {ENTRY} FROM entries WHERE version <> 'fold_0'",
+    "score_single_published": f"SELECT * FROM ({PUBLISHED}) WHERE tx_id = (SELECT event_id FROM events ORDER BY value DESC, event_id LIMIT 1)",
+}
