@@ -23,7 +23,7 @@ from wardenlake.llm import ranges
 PARAGRAPH = r"(?:[^\s.!?]++[^\S\n]*+){1,12}+[.!?]*+|[.!?]++"
 ROWS, PER_ROW = 3, 4
 CELLS = ROWS * PER_ROW
-PAGE_ITEMS = 16  # digests of both versions that one table starts with; about half of them differ in edited texts
+PAGE_ITEMS = 10  # digests of both versions that one table starts with at most; unrelated texts differ in all of them
 GROWTH_BITS, RETRIES = 2, 4
 FIRST_BIT = 8  # the bits before choose cells
 CHECK_MASK = 0xFFFFFFFF
