@@ -60,6 +60,32 @@ def test_same_as_brute_force(spark, tmp_path):
     assert {(r["doc_id"], r["item_id"]): r["score"] for r in blocks.collect()} == got
 
 
+def held_against_brute_force(spark, items, docs):
+    rows = passage_alignment.contaminated(
+        spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    ).collect()
+    want = {(d, i): s for d, t in docs for i, x in items if (s := score(x, t)) >= 0.5}
+    assert {(r["doc_id"], r["item_id"]): r["score"] for r in rows} == pytest.approx(want)
+    return want
+
+
+def test_edits_in_every_run_of_words(spark):
+    """One edited copy of each item, a word in every 2 to 8 replaced, dropped or followed by a new one."""
+    rng = random.Random(11)
+    items, docs = [], []
+    for every in (2, 3, 4, 5, 6, 7, 8):
+        for n in (6, 7, 9, 12, 16, 40):
+            for edit in ("replace", "drop", "insert"):
+                copy, at, text = [], rng.randrange(every), random_text(rng, n)
+                for k, w in enumerate(text.split()):
+                    new = f"new{rng.randrange(10**9)}"
+                    copy += [w] if k % every != at else [new] if edit == "replace" else [] if edit == "drop" else [w, new]
+                items.append((len(items), text))
+                docs.append((len(docs), " ".join([random_text(rng, 30), *copy, random_text(rng, 30)])))
+    want = held_against_brute_force(spark, items, docs)
+    assert sum((i, i) in want for i in range(len(items))) > 100
+
+
 def test_items_with_only_frequent_words_have_seeds(spark):
     text = "the of the of and the of and the of"
     docs = spark.createDataFrame([(i, f"{text} the and") for i in range(50)], "doc_id long, text string")

@@ -1,17 +1,18 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
-
-1. Every three consecutive words of a test item are an n-gram. One pass over the corpus counts them all.
-2. Of every `WINDOW` consecutive n-grams of an item the rarest in the corpus is a seed. Rarity is relative, so an item
-   that a third of all documents copy has seeds as well, and any copied run of WINDOW + 2 words holds one.
-3. A second pass joins training passages to items on the seeds: hits of a document and item that lie on
-   neighbouring diagonals make a candidate passage.
+"""Benchmark decontamination: seeds that no passage over the threshold can do without, then Smith-Waterman alignment.
+
+1. One pass over the corpus counts the words of the test items.
+2. Seeds of an item are all its runs of three words and its rarest words. An alignment with m matched words, c matched
+   runs of three and e other steps (edits, insertions, omissions) has e + 1 >= (m - c) / 2, so a score of 2m - e >= s needs
+   3m + c >= 2s - 2. The item's most frequent words are left out as far as they can't reach that alone: every passage
+   that scores `THRESHOLD` holds a seed, whichever words are edited. Counts only decide which words are cheap to look for.
+3. A second pass joins texts to items on the seeds: hits that lie on neighbouring diagonals make a candidate passage.
+   Those with too few words of the item for the bound in 2 are dropped.
 4. Word-level Smith-Waterman (match 2, other -1, gap -1) scores each candidate. score / (2 x words of the item) tells how
    much of the item is there; at least `THRESHOLD` is contamination, through edits, insertions and omissions.
 
 Test items go to the tasks in blocks of at most `BLOCK_BYTES` of text (measured), each block with passes of its own;
-documents never move. Words are lower-cased runs of letters and digits. Items and texts that are null or have fewer than
-three words have no n-grams and are never contaminated. Rows of `benchmark` with equal ids count as items of their own;
-a document's best passage for an id is reported.
+documents never move. Words are lower-cased runs of letters and digits. Items that are null or have fewer than three words
+are in no text. Rows of `benchmark` with equal ids count as items of their own; a document's best passage for an id is reported.
 """
 
 from __future__ import annotations
@@ -27,7 +28,6 @@ from wardenlake.llm import pretokens
 from wardenlake.llm.word_ngrams import ngrams, words
 
 SEED_WORDS = 3
-WINDOW = 6
 THRESHOLD = 0.5
 MARGIN = 8
 BLOCK_BYTES = 4 << 20
@@ -35,6 +35,27 @@ CELLS_AT_ONCE = 1 << 21
 MATCH, OTHER, GAP = 2, -1, -1
 
 
+@dataclass
+class Seeds:
+    """Places of items to look for, sorted by hash."""
+
+    hashes: np.ndarray
+    places: np.ndarray  # word position, in all items together
+    owner: np.ndarray  # the item
+
+    @classmethod
+    def of(cls, hashes: np.ndarray, places: np.ndarray, first: np.ndarray) -> Seeds:
+        order = np.argsort(hashes, kind="stable")
+        return cls(hashes[order], places[order], np.searchsorted(first, places[order], side="right") - 1)
+
+    def hits(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of hashes and of the seeds that equal them."""
+        low = np.searchsorted(self.hashes, hashes, side="left")
+        counts = np.searchsorted(self.hashes, hashes, side="right") - low
+        hit = np.flatnonzero(counts)
+        return np.repeat(hit, counts[hit]), pretokens.ragged(np.arange(len(self.hashes)), low[hit], counts[hit])
+
+
 @dataclass
 class Items:
     """Test items of one block, as arrays."""
@@ -42,9 +63,10 @@ class Items:
     ids: np.ndarray
     hashes: np.ndarray
     first: np.ndarray
-    seeds: np.ndarray  # sorted n-gram hashes
-    places: np.ndarray  # word position of each seed, in all items together
-    owner: np.ndarray  # the item of each seed
+    grams: Seeds
+    rare: Seeds
+    need: np.ndarray  # 3 x matched words + matched runs of three, at least, in a passage over the threshold
+    words: np.ndarray  # sorted distinct hashes
 
     def words_of(self, item: int) -> np.ndarray:
         return self.hashes[self.first[item] : self.first[item + 1]]
@@ -57,39 +79,41 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, n
             yield batch, owners, hashes, first
 
 
-def count_ngrams(docs: DataFrame, wanted: np.ndarray) -> dict[int, int]:
-    """How often each wanted n-gram (sorted hashes) occurs in all texts."""
+def count_words(docs: DataFrame, wanted: np.ndarray) -> np.ndarray:
+    """How often each wanted word (sorted hashes) occurs in all texts."""
     sent = docs.sparkSession.sparkContext.broadcast(wanted)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, found = sent.value, np.zeros(len(sent.value), np.int64)
-        for _, _, hashes, first in _rows(batches):
-            grams, _ = ngrams(hashes, first, SEED_WORDS)
-            place = np.minimum(np.searchsorted(known, grams), len(known) - 1)
-            found += np.bincount(place[known[place] == grams], minlength=len(known))
+        for _, _, hashes, _ in _rows(batches):
+            place = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+            found += np.bincount(place[known[place] == hashes], minlength=len(known))
         some = np.flatnonzero(found)
-        yield pa.RecordBatch.from_pydict({"gram": known[some].astype(np.int64), "n": found[some]})
+        yield pa.RecordBatch.from_pydict({"word": some, "n": found[some]})
 
-    counted = docs.select("text").mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-    return {int(np.uint64(r["gram"] & 0xFFFFFFFFFFFFFFFF)): r["n"] for r in counted.collect()}  # at most as many as the block has
+    counted = docs.select("text").mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    often = np.zeros(len(wanted), np.int64)
+    for r in counted.toLocalIterator():  # at most as many as the block has
+        often[r["word"]] = r["n"]
+    return often
 
 
-def choose_seeds(ids: list, texts: list[str], docs: DataFrame) -> Items:
+def choose_seeds(ids: list, texts: list[str], docs: DataFrame, threshold: float = THRESHOLD) -> Items:
     hashes, first = words(texts)
+    size = np.diff(first)
     grams, at = ngrams(hashes, first, SEED_WORDS)
-    wanted = np.unique(grams)
-    counts = count_ngrams(docs, wanted) if len(wanted) else {}
-    often = np.array([counts.get(int(g), 0) for g in grams], np.int64)
-    owner = np.searchsorted(first, at, side="right") - 1
-    chosen = np.zeros(len(grams), bool)
-    for item in range(len(texts)):
-        low, high = np.searchsorted(owner, [item, item + 1])
-        for start in range(low, max(low + 1, high - WINDOW + 1)):
-            if start < high:
-                window = often[start : min(high, start + WINDOW)]
-                chosen[start + int(window.argmin())] = True
-    order = np.argsort(grams[chosen], kind="stable")
-    return Items(np.array(ids, object), hashes, first, grams[chosen][order], at[chosen][order], owner[chosen][order])
+    distinct, number = np.unique(hashes, return_inverse=True)
+    often = count_words(docs, distinct)[number] if len(grams) else np.zeros(len(hashes), np.int64)
+    least = MATCH * threshold * size - 1e-6  # scores are whole numbers
+    need = 2 * least - 2
+    left_out = np.clip(np.ceil(need / 3).astype(np.int64) - 1, 0, size)
+    owner = np.repeat(np.arange(len(size)), size)
+    order = np.lexsort((-often, owner))
+    rank = np.arange(len(hashes)) - first[:-1][owner]
+    rare = np.sort(order[(rank >= left_out[owner]) & (size[owner] >= SEED_WORDS)])
+    return Items(
+        np.array(ids, object), hashes, first, Seeds.of(grams, at, first), Seeds.of(hashes[rare], rare, first), need, distinct
+    )
 
 
 # ---------------------------------------------------------------------------------------------
@@ -121,27 +145,52 @@ def align(items: np.ndarray, passages: np.ndarray) -> tuple[np.ndarray, np.ndarr
 def _candidates(items: Items, hashes: np.ndarray, first: np.ndarray) -> list[tuple[int, int, int, int]]:
     """(text, item, from word, to word): passages around seed hits, those on neighbouring diagonals together."""
     grams, at = ngrams(hashes, first, SEED_WORDS)
-    low = np.searchsorted(items.seeds, grams, side="left")
-    counts = np.searchsorted(items.seeds, grams, side="right") - low
-    hit = np.flatnonzero(counts)
-    if not len(hit):
+    hit, seed = items.grams.hits(grams)
+    word, rare = items.rare.hits(hashes)
+    run = np.arange(len(hit) + len(word)) < len(hit)
+    place = np.concatenate([items.grams.places[seed], items.rare.places[rare]])
+    item = np.concatenate([items.grams.owner[seed], items.rare.owner[rare]])
+    word = np.concatenate([at[hit], word])
+    if not len(word):
         return []
-    seed = pretokens.ragged(np.arange(len(items.seeds)), low[hit], counts[hit])
-    word = np.repeat(at[hit], counts[hit])
-    item = items.owner[seed]
-    diagonal = word - (items.places[seed] - items.first[item])  # where the item would begin
+    diagonal = word - (place - items.first[item])  # where the item would begin
     text = np.searchsorted(first, word, side="right") - 1
     order = np.lexsort((diagonal, item, text))
-    text, item, diagonal = text[order], item[order], diagonal[order]
+    text, item, diagonal, run = text[order], item[order], diagonal[order], run[order]
+    size = np.diff(items.first)
     new = np.ones(len(text), bool)
     new[1:] = (text[1:] != text[:-1]) | (item[1:] != item[:-1]) | (np.diff(diagonal) > MARGIN)
     heads = np.flatnonzero(new)
     tails = np.append(heads[1:], len(text)) - 1
-    size = np.diff(items.first)[item[heads]]
-    margin = MARGIN + size // 4
-    start = np.maximum(first[text[heads]], diagonal[heads] - margin)
-    stop = np.minimum(first[text[heads] + 1], diagonal[tails] + size + margin)
-    return list(zip(text[heads].tolist(), item[heads].tolist(), start.tolist(), stop.tolist()))
+    runs = pretokens.sums(run, np.append(heads, len(text)))
+    text, item = text[heads], item[heads]
+    margin = MARGIN + size[item] // 4
+    start = np.maximum(first[text], diagonal[heads] - margin)
+    stop = np.minimum(first[text + 1], diagonal[tails] + size[item] + margin)
+    kept = 3 * _shared(items, hashes, item, start, stop) + runs >= items.need[item]
+    return list(zip(text[kept].tolist(), item[kept].tolist(), start[kept].tolist(), stop[kept].tolist()))
+
+
+def _shared(items: Items, hashes: np.ndarray, item: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """How many words of each item are among the words [start, stop)."""
+    number = np.minimum(np.searchsorted(items.words, hashes), len(items.words) - 1)
+    known = np.flatnonzero(items.words[number] == hashes)
+    # (word, position) as one sorted number; the last one is past all that are looked for
+    room = len(hashes) + 1
+    there = np.append(np.sort(number[known] * room + known), len(items.words) * room)
+    of_item = np.searchsorted(items.words, items.hashes)
+    size = np.diff(items.first)[item]
+    total, ends = np.zeros(len(item), np.int64), np.cumsum(size)
+    at = 0
+    while at < len(item):
+        upto = max(at + 1, int(np.searchsorted(ends, ends[at] - size[at] + CELLS_AT_ONCE // 8, side="right")))
+        part = slice(at, upto)
+        mine = pretokens.ragged(of_item, items.first[item[part]], size[part]) * room
+        owner = np.repeat(np.arange(upto - at), size[part])
+        next_one = there[np.searchsorted(there, mine + start[part][owner])]
+        total[part] = np.bincount(owner[next_one < mine + stop[part][owner]], minlength=upto - at)
+        at = upto
+    return total
 
 
 def _score(items: Items, hashes: np.ndarray, found: list[tuple[int, int, int, int]]) -> tuple[np.ndarray, np.ndarray]:
@@ -194,8 +243,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
     kinds = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("score", pa.float64()), ("last_word", pa.int64())])
     results = []
     for ids, texts in _blocks(benchmark, block_bytes):
-        items = choose_seeds(ids, texts, docs)
-        if not len(items.seeds):
+        items = choose_seeds(ids, texts, docs, threshold)
+        if not len(items.rare.hashes):
             continue
         sent = spark.sparkContext.broadcast(items)
 
@@ -223,7 +272,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
 
 
 def largest_share(text: str | Column, items: Items) -> Column:
-    """The largest share of any of the items that a STRING column has, DOUBLE; 0 for texts without a candidate."""
+    """The largest share of any of the items that a STRING column has, DOUBLE, if it is over the items' threshold; else that or less."""
     sent = SparkSession.active().sparkContext.broadcast(items)
 
     @F.arrow_udf("double")
@@ -244,7 +293,7 @@ def without_contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float
     """The documents that have less than `threshold` of every item, as they are; no row moves."""
     kept = docs
     for ids, texts in _blocks(benchmark, block_bytes):
-        items = choose_seeds(ids, texts, docs)
-        if len(items.seeds):
+        items = choose_seeds(ids, texts, docs, threshold)
+        if len(items.rare.hashes):
             kept = kept.where(largest_share("text", items) < threshold)
     return kept
