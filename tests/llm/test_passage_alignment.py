@@ -86,6 +86,19 @@ def test_edits_in_every_run_of_words(spark):
     assert sum((i, i) in want for i in range(len(items))) > 100
 
 
+def test_items_spread_by_long_insertions(spark):
+    rng = random.Random(12)
+    items, docs = [], []
+    for pieces, between in ((3, 29), (2, 50), (4, 15), (6, 9), (3, 31)):
+        item = [f"w{len(items)}x{k}" for k in range(60)]
+        size = 60 // pieces
+        parts = [w for p in range(pieces) for w in [*item[p * size : (p + 1) * size], *random_text(rng, between).split()]]
+        items.append((len(items), " ".join(item)))
+        docs.append((len(docs), " ".join([random_text(rng, 100), *parts, random_text(rng, 100)])))
+    want = held_against_brute_force(spark, items, docs)
+    assert want[0, 0] == pytest.approx(62 / 120) and (4, 4) not in want
+
+
 def test_items_with_only_frequent_words_have_seeds(spark):
     text = "the of the of and the of and the of"
     docs = spark.createDataFrame([(i, f"{text} the and") for i in range(50)], "doc_id long, text string")

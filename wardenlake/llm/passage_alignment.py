@@ -5,10 +5,12 @@
    runs of three and e other steps (edits, insertions, omissions) has e + 1 >= (m - c) / 2, so a score of 2m - e >= s needs
    3m + c >= 2s - 2. The item's most frequent words are left out as far as they can't reach that alone: every passage
    that scores `THRESHOLD` holds a seed, whichever words are edited. Counts only decide which words are cheap to look for.
-3. A second pass joins texts to items on the seeds: hits that lie on neighbouring diagonals make a candidate passage.
-   Those with too few words of the item for the bound in 2 are dropped.
+3. A second pass joins texts to items on the seeds. Such a passage has e <= 2 x words of the item - s, so it lies in a window of
+   known length around each of its seeds; windows that overlap are one candidate. Those with too few words of
+   the item for the bound in 2 are dropped.
 4. Word-level Smith-Waterman (match 2, other -1, gap -1) scores each candidate. score / (2 x words of the item) tells how
-   much of the item is there; at least `THRESHOLD` is contamination, through edits, insertions and omissions.
+   much of the item is there; at least `THRESHOLD` is contamination, through edits, insertions and omissions. It is
+   the score over the whole text.
 
 Test items go to the tasks in blocks of at most `BLOCK_BYTES` of text (measured), each block with passes of its own;
 documents never move. Words are lower-cased runs of letters and digits. Items that are null or have fewer than three words
@@ -29,7 +31,6 @@ from wardenlake.llm.word_ngrams import ngrams, words
 
 SEED_WORDS = 3
 THRESHOLD = 0.5
-MARGIN = 8
 BLOCK_BYTES = 4 << 20
 CELLS_AT_ONCE = 1 << 21
 MATCH, OTHER, GAP = 2, -1, -1
@@ -66,6 +67,7 @@ class Items:
     grams: Seeds
     rare: Seeds
     need: np.ndarray  # 3 x matched words + matched runs of three, at least, in a passage over the threshold
+    reach: np.ndarray  # other steps, at most, in such a passage
     words: np.ndarray  # sorted distinct hashes
 
     def words_of(self, item: int) -> np.ndarray:
@@ -105,14 +107,14 @@ def choose_seeds(ids: list, texts: list[str], docs: DataFrame, threshold: float
     distinct, number = np.unique(hashes, return_inverse=True)
     often = count_words(docs, distinct)[number] if len(grams) else np.zeros(len(hashes), np.int64)
     least = MATCH * threshold * size - 1e-6  # scores are whole numbers
-    need = 2 * least - 2
+    need, reach = 2 * least - 2, np.maximum(0, np.floor(MATCH * size - least)).astype(np.int64)
     left_out = np.clip(np.ceil(need / 3).astype(np.int64) - 1, 0, size)
     owner = np.repeat(np.arange(len(size)), size)
     order = np.lexsort((-often, owner))
     rank = np.arange(len(hashes)) - first[:-1][owner]
     rare = np.sort(order[(rank >= left_out[owner]) & (size[owner] >= SEED_WORDS)])
     return Items(
-        np.array(ids, object), hashes, first, Seeds.of(grams, at, first), Seeds.of(hashes[rare], rare, first), need, distinct
+        np.array(ids, object), hashes, first, Seeds.of(grams, at, first), Seeds.of(hashes[rare], rare, first), need, reach, distinct
     )
 
 
@@ -143,7 +145,7 @@ def align(items: np.ndarray, passages: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def _candidates(items: Items, hashes: np.ndarray, first: np.ndarray) -> list[tuple[int, int, int, int]]:
-    """(text, item, from word, to word): passages around seed hits, those on neighbouring diagonals together."""
+    """(text, item, from word, to word): what passages around seed hits can span, overlapping ones together."""
     grams, at = ngrams(hashes, first, SEED_WORDS)
     hit, seed = items.grams.hits(grams)
     word, rare = items.rare.hits(hashes)
@@ -159,14 +161,13 @@ def _candidates(items: Items, hashes: np.ndarray, first: np.ndarray) -> list[tup
     text, item, diagonal, run = text[order], item[order], diagonal[order], run[order]
     size = np.diff(items.first)
     new = np.ones(len(text), bool)
-    new[1:] = (text[1:] != text[:-1]) | (item[1:] != item[:-1]) | (np.diff(diagonal) > MARGIN)
+    new[1:] = (text[1:] != text[:-1]) | (item[1:] != item[:-1]) | (np.diff(diagonal) > (size + 2 * items.reach)[item[1:]])
     heads = np.flatnonzero(new)
     tails = np.append(heads[1:], len(text)) - 1
     runs = pretokens.sums(run, np.append(heads, len(text)))
     text, item = text[heads], item[heads]
-    margin = MARGIN + size[item] // 4
-    start = np.maximum(first[text], diagonal[heads] - margin)
-    stop = np.minimum(first[text + 1], diagonal[tails] + size[item] + margin)
+    start = np.maximum(first[text], diagonal[heads] - items.reach[item])
+    stop = np.minimum(first[text + 1], diagonal[tails] + size[item] + items.reach[item])
     kept = 3 * _shared(items, hashes, item, start, stop) + runs >= items.need[item]
     return list(zip(text[kept].tolist(), item[kept].tolist(), start[kept].tolist(), stop[kept].tolist()))
 
