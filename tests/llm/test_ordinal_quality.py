@@ -37,6 +37,17 @@ def test_fit_finds_ordered_effects():
     assert loss(model, rows, places, grades) < 0.3 * loss(flat, rows, places, grades)
 
 
+@pytest.mark.parametrize("docs", [8, 15])
+def test_words_of_few_toxic_documents_have_weight(docs):
+    rng = np.random.default_rng(4)
+    grades = np.full(3000, 2)
+    grades[:200], grades[200:400] = 0, 1
+    pairs = [(i, p) for i in range(3000) for p in rng.choice(np.arange(100, 160), 20, replace=False)]
+    pairs += [(200 + i, 9) for i in range(docs)]
+    model = ordinal_quality.fit(*np.array(sorted(pairs)).T, grades)
+    assert model.weights[9] < -1 and np.abs(model.weights[100:160]).max() < 0.5
+
+
 def test_unseen_documents(spark):
     """Rows that the fit didn't see."""
     docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))

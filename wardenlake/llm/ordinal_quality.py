@@ -27,7 +27,7 @@ from wardenlake.llm import pretokens
 
 FIT_ROWS = 8192
 PLACE_BITS = 18
-LEAST_DOCS = 10
+LEAST_DOCS = 8
 STEM = 4
 SHRINK = 0.5
 ROUNDS = 500
@@ -111,13 +111,14 @@ def fit(rows: np.ndarray, places: np.ndarray, grades: np.ndarray) -> Model:
         return Model(weights, np.full(GRADES - 1, -40.0))
     share = np.cumsum(np.bincount(grades, minlength=GRADES) + 0.5)[:-1] / (n + 0.5 * GRADES)
     start = np.log(share / (1 - share))
-    # places whose rows pull the likelihood one way, by so many standard errors
+    # places whose rows pull the likelihood one way, by so many standard errors of their own or of as many rows of any grade
     edges = np.concatenate([[0], share, [1]])
     pull = 1 - edges[grades + 1] - edges[grades]
     size = 1 << PLACE_BITS
     pulled = np.bincount(places, weights=pull[rows], minlength=size)
     error = np.sqrt(np.bincount(places, weights=pull[rows] ** 2, minlength=size)) + 1e-9
-    telling = (np.bincount(places, minlength=size) >= LEAST_DOCS) & (np.abs(pulled) / error >= LEAST_PULL)
+    docs = np.bincount(places, minlength=size)
+    telling = (docs >= LEAST_DOCS) & (np.abs(pulled) >= LEAST_PULL * np.minimum(error, np.sqrt(docs * np.mean(pull**2))))
     columns = np.flatnonzero(telling)
     number = np.full(size, -1)
     number[columns] = np.arange(len(columns))
