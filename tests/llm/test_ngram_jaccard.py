@@ -82,6 +82,15 @@ def test_nothing_alike(spark):
     assert ngram_jaccard.jaccard_join(docs.limit(0)).collect() == []
 
 
+def test_one_of_each_with_null_and_repeated_ids(spark):
+    one, two, three = (" ".join(f"{c}{i}" for i in range(60)) for c in "abc")
+    docs = [(1, one), (None, one), (None, one + " more"), (None, two), (None, two + " more"), (None, two), (7, three), (7, three + " more")]
+    docs += [(7, one + " end"), (8, three), (9, None), (None, None), (9, ""), (1, one)]
+    kept = [tuple(r) for r in ngram_jaccard.one_of_each(spark.createDataFrame(docs, "doc_id long, text string")).collect()]
+    assert len(kept) == len(set(kept)) == 6 and {(1, one), (9, None), (None, None), (9, "")} < set(kept)
+    assert len({(None, two), (None, two + " more")} & set(kept)) == len({(7, three), (7, three + " more")} & set(kept)) == 1
+
+
 def test_pruning_keeps_what_may_reach_the_threshold():
     need = ngram_jaccard.least_matches(0.8, 1e-6)
     for n, m in need.items():

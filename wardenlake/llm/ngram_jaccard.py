@@ -275,6 +275,11 @@ def jaccard_join(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     links: other documents with at least the similarity; copies: those among them with the same n-grams;
     class_id: the smallest id of the documents that a chain of links leads to.
     """
+    return _classed(docs, threshold).select("doc_id", "class_id", "links", "copies")
+
+
+def _classed(docs: DataFrame, threshold: float) -> DataFrame:
+    """The columns of `jaccard_join`, text_hash, and the text hash of the first document of the class."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_hash"))
     signed = materialize(rows.mapInArrow(_signed, "doc_id long, text_hash long, node binary, signature binary"))
     key = F.struct(F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), "text_hash")
@@ -296,28 +301,30 @@ def jaccard_join(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     )
     links = found.groupBy("node").agg(F.sum("links").alias("others"))
     classes = components(found.where("parent IS NOT NULL").select(F.col("node").alias("a"), F.col("parent").alias("b")))
-    named = nodes.select("node", "copies", "key.id").join(links, "node", "left").join(classes, "node", "left")
+    named = nodes.select("node", "copies", "key").join(links, "node", "left").join(classes, "node", "left")
     named = named.withColumn("label", F.coalesce("label", "node"))
-    smallest = named.groupBy("label").agg(F.min("id").alias("class_id"))
-    known = named.join(smallest, "label").select("node", "copies", F.coalesce("others", F.lit(0)).alias("others"), "class_id")
-    named_rows = signed.where("node IS NOT NULL").select("doc_id", "node").join(known, "node")  # a node of very many: AQE splits them
+    smallest = named.groupBy("label").agg(F.min("key").alias("first"))
+    known = named.join(smallest, "label").select("node", "copies", F.coalesce("others", F.lit(0)).alias("others"), "first")
+    named_rows = signed.where("node IS NOT NULL").select("doc_id", "text_hash", "node").join(known, "node")  # a node of very many: AQE splits them
     linked = named_rows.select(
         "doc_id",
-        F.nullif("class_id", F.lit(NO_ID)).alias("class_id"),
+        "text_hash",
+        F.nullif("first.id", F.lit(NO_ID)).alias("class_id"),
+        F.col("first.text_hash").alias("class_hash"),
         (F.col("others") + F.col("copies") - 1).alias("links"),
         (F.col("copies") - 1).alias("copies"),
     )
     zero = F.lit(0).cast("long")
-    alone = signed.where("node IS NULL").select("doc_id", F.col("doc_id").alias("class_id"), zero.alias("links"), zero.alias("copies"))
+    alone = signed.where("node IS NULL").select("doc_id", "text_hash", F.col("doc_id").alias("class_id"), F.col("text_hash").alias("class_hash"), zero.alias("links"), zero.alias("copies"))
     return linked.unionByName(alone)
 
 
 def one_of_each(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """One document of every class, that with the smallest id, and each repeated row once.
+    """One document of every class: that with the smallest id, of several such that with the smallest text hash.
 
-    Documents without an id are no class's choice; of those with the same text one stays.
+    Documents without an id come after all others. Each repeated row stays once.
     """
-    classes = jaccard_join(docs, threshold)
-    chosen = classes.where("doc_id = class_id").select(F.col("doc_id").alias("__chosen")).distinct()
-    kept = docs.join(chosen, F.col("doc_id") == F.col("__chosen"), "left_semi").dropDuplicates(["doc_id", "text"])
-    return kept.unionByName(docs.where("doc_id IS NULL").dropDuplicates(["text"]))
+    classes = _classed(docs, threshold).where("doc_id <=> class_id AND text_hash = class_hash")
+    chosen = classes.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct()
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__hash"))
+    return docs.join(chosen, same, "left_semi").dropDuplicates(["doc_id", "text"])
