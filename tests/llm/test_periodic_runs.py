@@ -1,0 +1,108 @@
+import hashlib
+import random
+import re
+import zlib
+from fractions import Fraction
+
+import numpy as np
+
+from wardenlake.llm import periodic_runs
+from wardenlake.llm.catalog import op13_periodic_runs
+
+
+def brute(words):
+    """(start, length, period) of every maximal stretch of words that repeats, by trying all periods."""
+    n, runs = len(words), []
+    for q in range(1, n // 4 + 1):
+        i = q
+        while i < n:
+            if words[i] != words[i - q]:
+                i += 1
+                continue
+            j = i
+            while j < n and words[j] == words[j - q]:
+                j += 1
+            start, length = i - q, j - i + q
+            part = words[start:j]
+            smallest = next(p for p in range(1, q + 1) if part[p:] == part[:-p])
+            if smallest == q and length >= max(6, 4 * q):
+                runs.append((start, length, q))
+            i = j
+    return sorted(runs, key=lambda r: (r[0], r[2]))
+
+
+def by_hand(doc_id, text):
+    words = re.findall("[^\x20\x09-\x0d]+", text or "")
+    n = len(words)
+    h = zlib.crc32(str(doc_id).encode()) if doc_id is not None else 1
+    g = h // 10
+    if h % 10 == 0 and n:
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        words = [words[i] if i < a else words[a + (i - a) % p] for i in range(n)]
+    runs = brute(words)
+    gone = {i for s, length, q in runs for i in range(s + q, s + length)}
+    best = min(runs, key=lambda r: (-Fraction(r[1], r[2]), r[0], r[2]), default=(None,) * 3)
+    return (
+        doc_id, len(runs), *best, best[0] if best[0] is None else 1000 * best[1] // best[2],
+        hashlib.sha256("".join(f"{s},{length},{q}\n" for s, length, q in runs).encode()).hexdigest(),
+        hashlib.sha256(" ".join(w for i, w in enumerate(words) if i not in gone).encode()).hexdigest(),
+    )
+
+
+COLUMNS = ["doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256"]
+
+
+def found(docs):
+    return sorted((tuple(r[c] for c in COLUMNS) for r in periodic_runs.run_digests(docs).collect()), key=str)
+
+
+def test_runs_of_random_words_are_those_of_all_periods():
+    rng = random.Random(3)
+    for _ in range(300):
+        texts = []
+        for _ in range(rng.randrange(1, 4)):
+            words = []
+            while len(words) < rng.randrange(1, 120):
+                part = [rng.randrange(rng.choice([1, 2, 3, 50])) for _ in range(rng.randrange(1, 12))]
+                words += part * rng.choice([1, 1, 3, 4, 5, 9]) + part[: rng.randrange(len(part) + 1)]
+            texts.append(words)
+        first = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+        got = list(zip(*(x.tolist() for x in periodic_runs.find_runs(np.array(sum(texts, [])), first))))
+        assert got == [(s + int(first[k]), length, q) for k, t in enumerate(texts) for s, length, q in brute(t)]
+
+
+def test_documents_match_brute_force(spark):
+    rng = random.Random(4)
+
+    def text():
+        words = []
+        for _ in range(rng.randrange(1, 8)):
+            part = [rng.choice("abcdé") * rng.randrange(1, 3) for _ in range(rng.randrange(1, 9))]
+            words += part * rng.choice([1, 2, 4, 6])
+        return rng.choice([" ", "\t", " \n", "  ", "\x0b"]).join(words)
+
+    rows = [(i, text()) for i in range(200)]
+    rows += [(None, "a " * 9), (7, text()), (7, "x y " * 5), (300, None), (301, ""), (302, " \n\t"), (303, "one")]
+    rows += [(304, " ".join("ab" * 20)), (305, "\x00 " * 8), (306, "a a a b b b " * 7), (306, "a a a b b b " * 7)]
+    docs = spark.createDataFrame([(*r, "x", 1) for r in rows], "doc_id long, text string, runs string, n_words int")
+    got = found(docs)
+    assert got == sorted((by_hand(*r) for r in rows), key=str)
+    assert any(r[2] is not None and zlib.crc32(str(r[0]).encode()) % 10 == 0 for r in got if r[0] is not None)
+    assert found(docs.limit(0)) == []
+
+
+def test_a_word_that_fills_a_very_long_text(spark):
+    docs = spark.createDataFrame([(1, "the " * 400_000), (2, "to be or not " * 100_000 + "end")], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in periodic_runs.collapse_runs(docs).collect()}
+    assert [tuple(r) for r in got[1]["runs"]] == [(0, 400_000, 1)] and got[1]["collapsed"] == "the"
+    assert [tuple(r) for r in got[2]["runs"]] == [(0, 400_000, 4)] and got[2]["collapsed"] == "to be or not end"
+
+
+def test_query_covers_the_table(spark):
+    sf = "/root/testdata/sf0.001"
+    rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    short = [r for r in rows if len((r[1] or "").split()) < 1500]
+    got = {r["doc_id"]: tuple(r[c] for c in COLUMNS) for r in op13_periodic_runs(spark, sf).collect()}
+    assert len(got) == len(rows) and len(short) > 0.9 * len(rows)
+    assert [got[r[0]] for r in short] == [by_hand(*r) for r in short]

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from wardenlake.llm import byte_bpe, histogram_shards, language_spans, ngram_jaccard, ordinal_quality, paragraph_sketch, passage_alignment, token_files, warc, whole_tokens
+from wardenlake.llm import byte_bpe, histogram_shards, language_spans, ngram_jaccard, ordinal_quality, paragraph_sketch, passage_alignment, periodic_runs, token_files, warc, whole_tokens
 from wardenlake.llm.batches import table
 
 
@@ -51,6 +51,10 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archived_pages(table(spark, sf_dir, "pages"))
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.run_digests(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_paragraph_sketch": op1_paragraph_sketch,
     "op2_ngram_jaccard": op2_ngram_jaccard,
@@ -62,6 +66,7 @@ QUERIES = {
     "op8_language_spans": op8_language_spans,
     "op9_whole_tokens": op9_whole_tokens,
     "op10_warc": op10_warc,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 ORACLE: dict[str, str] = {
