@@ -1,0 +1,115 @@
+import math
+
+import numpy as np
+import pytest
+
+from wardenlake.llm import near_vectors
+
+KIND = "vec_id long, embedding array<float>, label string, node int"
+
+
+def brute(rows, threshold=0.95):
+    """(vec_id, n_links, component_id, kept) of every row, from all pairs."""
+
+    def usable(v):
+        return v is not None and len(v) and all(x is not None and math.isfinite(x) for x in v) and any(v)
+
+    n = len(rows)
+    near = {i: set() for i in range(n)}
+    by_length = {}
+    for i, (_, v) in enumerate(rows):
+        if usable(v):
+            by_length.setdefault(len(v), []).append(i)
+    for group in by_length.values():
+        x = np.array([rows[i][1] for i in group], np.float32).astype(np.float64)
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        for a, b in np.argwhere(x @ x.T >= threshold).tolist():
+            if a != b:
+                near[group[a]].add(group[b])
+    out, seen = [], {}
+    for i in range(n):
+        if i not in seen:
+            group, front = {i}, [i]
+            while front:
+                for j in near[front.pop()] - group:
+                    group.add(j)
+                    front.append(j)
+            ids = [rows[k][0] for k in group if rows[k][0] is not None]
+            seen |= {k: min(ids, default=None) for k in group}
+        out.append((rows[i][0], len(near[i]), seen[i], rows[i][0] == seen[i]))
+    return sorted(out, key=str)
+
+
+def found(spark, rows, threshold=0.95):
+    df = spark.createDataFrame([(i, v, "x", 1) for i, v in rows], KIND)
+    got = near_vectors.cosine_components(df, threshold=threshold).collect()
+    return sorted([(r["vec_id"], r["n_links"], r["component_id"], r["kept"]) for r in got], key=str)
+
+
+def turned(rng, v, cosine):
+    """A vector at that cosine from v."""
+    side = rng.standard_normal(len(v))
+    side -= v * (side @ v) / (v @ v)
+    return cosine * v / np.linalg.norm(v) + math.sqrt(1 - cosine**2) * side / np.linalg.norm(side)
+
+
+def vectors(rng, groups, near=4, length=64):
+    out = []
+    for _ in range(groups):
+        v = rng.standard_normal(length)
+        out.append(v)
+        for _ in range(rng.integers(0, near)):
+            out.append(turned(rng, out[-rng.integers(1, 3)] if len(out) > 1 else v, rng.choice([0.93, 0.96, 0.98, 0.999, 1.0])) * rng.choice([1, 7.5]))
+    return [x.astype(np.float32).tolist() for x in out]
+
+
+def test_links_and_components_match_all_pairs(spark):
+    rng = np.random.default_rng(5)
+    rows = [(3 * i, v) for i, v in enumerate(vectors(rng, 700))]
+    rows += [(int(rng.integers(10_000, 20_000)), v) for _, v in rows[::9]]  # copies under other ids
+    order = rng.permutation(len(rows))
+    want = brute(rows)
+    assert sum(r[1] > 0 for r in want) > 600
+    assert found(spark, [rows[i] for i in order]) == want
+
+
+def test_a_group_larger_than_a_block(spark, monkeypatch):
+    monkeypatch.setattr(near_vectors, "BLOCK_ROWS", 64)
+    monkeypatch.setattr(near_vectors, "SAMPLE_STEP", 2)
+    rng = np.random.default_rng(6)
+    centre = rng.standard_normal(16)
+    rows = [(i, turned(rng, centre, rng.uniform(0.94, 1)).tolist()) for i in range(600)]
+    rows += [(600 + i, rng.standard_normal(16).tolist()) for i in range(600)]
+    rows += [(2000 + i, rows[0][1]) for i in range(300)]
+    assert found(spark, rows) == brute(rows)
+
+
+def test_odd_rows(spark):
+    v = [float(x) for x in range(1, 9)]
+    tiny, huge = [x * 1e-38 for x in v], [x * 3e37 for x in v]
+    rows = [(1, v), (2, v), (2, v), (None, v), (None, [2 * x for x in v]), (5, tiny), (6, huge), (7, [-x for x in v])]
+    rows += [(8, None), (9, []), (10, [0.0] * 8), (11, [*v[:7], None]), (12, [*v[:7], math.nan]), (13, [*v[:7], math.inf])]
+    rows += [(14, v[:4]), (15, v[:4]), (None, None), (None, [0.0]), (None, [5.0, -1.0]), (16, [-0.0, 1.0]), (17, [0.0, 3.0])]
+    want = {r for r in brute(rows) if r[0] is not None}
+    got = found(spark, rows)
+    assert len(got) == len(rows) and want == {r for r in got if r[0] is not None}
+    assert [r for r in got if r[0] is None] == [(None, 0, None, True)] * 3 + [(None, 6, 1, False)] * 2
+    assert found(spark, []) == []
+
+
+@pytest.mark.parametrize("cosine,least", [(0.9501, 0.995), (0.96, 0.999)])
+def test_recall_of_pairs_near_the_threshold(spark, cosine, least):
+    rng = np.random.default_rng(7)
+    rows = []
+    for i in range(3000):
+        v = rng.standard_normal(64)
+        rows += [(2 * i, v.tolist()), (2 * i + 1, turned(rng, v, cosine).tolist())]
+    got = found(spark, rows)
+    assert sum(r[1] for r in got) >= least * 6000 and all(r[2] == r[0] - r[0] % 2 for r in got if r[1])
+
+
+def test_tables_follow_the_number_of_rows():
+    shapes = [near_vectors.table_shape(10**k) for k in range(3, 12)]
+    assert shapes[0] == (8, 13) and shapes == sorted(shapes)
+    p = near_vectors.agreement(0.95)
+    assert all((1 - p**bits) ** tables <= 1e-3 for bits, tables in shapes)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from wardenlake.llm import byte_bpe, histogram_shards, language_spans, ngram_jaccard, ordinal_quality, paragraph_sketch, passage_alignment, periodic_runs, token_files, warc, whole_tokens
+from wardenlake.llm import byte_bpe, histogram_shards, language_spans, near_vectors, ngram_jaccard, ordinal_quality, paragraph_sketch, passage_alignment, periodic_runs, token_files, warc, whole_tokens
 from wardenlake.llm.batches import table
 
 
@@ -51,6 +51,10 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archived_pages(table(spark, sf_dir, "pages"))
 
 
+def op11_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors.cosine_components(table(spark, sf_dir, "embeddings"))
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.run_digests(table(spark, sf_dir, "documents"))
 
@@ -66,10 +70,32 @@ QUERIES = {
     "op8_language_spans": op8_language_spans,
     "op9_whole_tokens": op9_whole_tokens,
     "op10_warc": op10_warc,
+    "op11_near_vectors": op11_near_vectors,
     "op13_periodic_runs": op13_periodic_runs,
 }
 
 ORACLE: dict[str, str] = {
+    "op11_near_vectors": """
+        WITH RECURSIVE v AS (
+            SELECT vec_id, list_transform(embedding, c -> c::DOUBLE) AS x FROM embeddings
+        ), u AS (
+            SELECT vec_id, x, sqrt(list_dot_product(x, x)) AS norm FROM v
+            WHERE x IS NOT NULL AND len(list_filter(x, c -> c IS NULL OR NOT isfinite(c))) = 0
+              AND len(list_filter(x, c -> c <> 0)) > 0
+        ), links AS (
+            SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.vec_id <> b.vec_id AND len(a.x) = len(b.x)
+            WHERE list_dot_product(a.x, b.x) >= 0.95 * a.norm * b.norm
+        ), reach(a, b) AS (
+            SELECT vec_id, vec_id FROM v UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+        ), c AS (
+            SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a
+        ), n AS (
+            SELECT l.a AS vec_id, count(*) AS n_links, count(*) FILTER (x.x = y.x) AS copies
+            FROM links l JOIN v x ON l.a = x.vec_id JOIN v y ON l.b = y.vec_id GROUP BY l.a
+        )
+        SELECT v.vec_id, coalesce(n_links, 0) AS n_links, component_id, v.vec_id = component_id AS kept, coalesce(copies, 0) AS copies
+        FROM v JOIN c USING (vec_id) LEFT JOIN n USING (vec_id)
+    """,
     "op10_warc": """
         WITH p AS (
             SELECT page_id, coalesce(html, '') AS body, sha256(coalesce(html, '')) AS payload_digest,
