@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from wardenlake.llm import byte_bpe, histogram_shards, language_spans, near_vectors, ngram_jaccard, ordinal_quality, paragraph_sketch, passage_alignment, periodic_runs, token_files, warc, whole_tokens
+from wardenlake.llm import byte_bpe, histogram_shards, language_spans, near_vectors, ngram_jaccard, ordinal_quality, paragraph_sketch, passage_alignment, periodic_runs, token_files, warc, whitening, whole_tokens
 from wardenlake.llm.batches import table
 
 
@@ -55,6 +55,10 @@ def op11_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors.cosine_components(table(spark, sf_dir, "embeddings"))
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened_components(table(spark, sf_dir, "embeddings"))
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.run_digests(table(spark, sf_dir, "documents"))
 
@@ -71,6 +75,7 @@ QUERIES = {
     "op9_whole_tokens": op9_whole_tokens,
     "op10_warc": op10_warc,
     "op11_near_vectors": op11_near_vectors,
+    "op12_whitening": op12_whitening,
     "op13_periodic_runs": op13_periodic_runs,
 }
 
