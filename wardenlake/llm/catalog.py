@@ -82,11 +82,11 @@ QUERIES = {
 ORACLE: dict[str, str] = {
     "op11_near_vectors": """
         WITH RECURSIVE v AS (
-            SELECT vec_id, list_transform(embedding, c -> c::DOUBLE) AS x FROM embeddings
+            SELECT vec_id, embedding::DOUBLE[] AS x FROM embeddings
         ), u AS (
             SELECT vec_id, x, sqrt(list_dot_product(x, x)) AS norm FROM v
-            WHERE x IS NOT NULL AND len(list_filter(x, c -> c IS NULL OR NOT isfinite(c))) = 0
-              AND len(list_filter(x, c -> c <> 0)) > 0
+            WHERE x IS NOT NULL AND len([c for c in x if c IS NULL OR NOT isfinite(c)]) = 0
+              AND len([c for c in x if c <> 0]) > 0
         ), links AS (
             SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.vec_id <> b.vec_id AND len(a.x) = len(b.x)
             WHERE list_dot_product(a.x, b.x) >= 0.95 * a.norm * b.norm
