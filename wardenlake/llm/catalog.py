@@ -83,13 +83,15 @@ ORACLE: dict[str, str] = {
     "op11_near_vectors": """
         WITH RECURSIVE v AS (
             SELECT vec_id, embedding::DOUBLE[] AS x FROM embeddings
-        ), u AS (
-            SELECT vec_id, x, sqrt(list_dot_product(x, x)) AS norm FROM v
+        ), ok AS MATERIALIZED (
+            SELECT vec_id, x FROM v
             WHERE x IS NOT NULL AND len([c for c in x if c IS NULL OR NOT isfinite(c)]) = 0
               AND len([c for c in x if c <> 0]) > 0
+        ), u AS (
+            SELECT vec_id, x, sqrt(list_dot_product(x, x)) AS norm FROM ok
         ), links AS (
-            SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.vec_id <> b.vec_id AND len(a.x) = len(b.x)
-            WHERE list_dot_product(a.x, b.x) >= 0.95 * a.norm * b.norm
+            SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.vec_id <> b.vec_id
+            WHERE CASE WHEN len(a.x) = len(b.x) THEN list_dot_product(a.x, b.x) >= 0.95 * a.norm * b.norm END
         ), reach(a, b) AS (
             SELECT vec_id, vec_id FROM v UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
         ), c AS (
