@@ -1,10 +1,12 @@
 from datetime import datetime
+from multiprocessing.pool import ThreadPool
 
 import pytest
 from pyspark.sql import functions as F
 
-from wardenlake.schema import SchemaError, transaction_schema
+from wardenlake.schema import SchemaError, registry_schema, transaction_schema
 from wardenlake.sources import reports, transactions
+from wardenlake.sources.commit_log import CommittedTable
 from wardenlake.sources.registry import ModelRegistry, best_version, list_versions
 
 
@@ -112,3 +114,52 @@ def test_first_registered_wins_a_tie(spark):
     df = spark.createDataFrame(rows, "version string, registered_at timestamp, metrics map<string,double>")
     assert best_version(df).first()["version"] == "early"
     assert list_versions(df).first()["version"] == "late"
+
+
+def at_once(count, job):
+    with ThreadPool(count) as pool:
+        return pool.map(job, range(count))
+
+
+def test_one_of_many_writers_registers_a_name(spark, tmp_path):
+    reg = ModelRegistry(spark, str(tmp_path / "r"))
+    done = at_once(8, lambda i: reg.register("v1", {"f1": i / 10}))
+    assert sorted(done) == [False] * 7 + [True]
+    assert reg.get("v1").first()["metrics"] == {"f1": done.index(True) / 10}
+
+
+def test_no_registration_is_lost(spark, tmp_path):
+    reg = ModelRegistry(spark, str(tmp_path / "r"))
+    assert all(at_once(8, lambda i: reg.register(f"v{i}", {"f1": i / 10})))
+    assert {r["version"] for r in reg.list_versions().collect()} == {f"v{i}" for i in range(8)}
+    assert all(at_once(6, lambda i: reg.add_metrics("v0", {f"m{i}": i})))
+    assert reg.get("v0").first()["metrics"] == {"f1": 0.0, **{f"m{i}": float(i) for i in range(6)}}
+    assert sorted(at_once(4, lambda i: reg.delete("v7"))) == [False, False, False, True]
+    assert [n for n, _ in reg.table.commits()] == list(range(1, 16))
+
+
+def test_many_entries_in_one_commit(spark, tmp_path):
+    reg = ModelRegistry(spark, str(tmp_path / "r"))
+    rows = [(f"v{i}", datetime(2024, 1, 1 + i), {"f1": i / 10}, {}, "p", [], "") for i in range(5)]
+    df = spark.createDataFrame([*rows, ("v0", datetime(2024, 2, 1), {"f1": 0.95}, {}, "p", [], "")], registry_schema())
+    assert reg.register("v3", {"f1": 0.5}) and reg.register_all(df) and not reg.register_all(df)
+    assert reg.table.latest() == 2 and reg.entries().count() == 5
+    assert reg.get("v3").first()["metrics"] == {"f1": 0.5} and reg.get("v0").first()["metrics"] == {"f1": 0.95}
+    assert reg.register_all(df.where("version = 'v3'"), overwrite=True) and reg.get("v3").first()["metrics"] == {"f1": 0.3}
+
+
+def test_reports_of_many_writers(spark, tmp_path):
+    path = str(tmp_path / "m")
+    rows = spark.range(100).select(F.rand(1).alias("f1")).repartition(3)
+    at_once(6, lambda i: reports.save_metrics_report(rows, f"Model {i}", path))
+    got = reports.read_reports(spark, path).groupBy("report").count().collect()
+    assert {r["report"]: r["count"] for r in got} == {f"model_{i}": 100 for i in range(6)}
+
+
+def test_unfinished_batches_are_not_read(spark, tmp_path):
+    table = CommittedTable(spark, str(tmp_path / "t"))
+    assert table.append(spark.range(3)) == 1
+    table._write(spark.range(50))  # a writer that ended before its commit
+    assert table.read().count() == 3 and table.read(0).count() == 0
+    assert table.update(lambda so_far: None) is None and table.latest() == 1
+    assert not table._put(1, "b-late") and [p.name for p in (tmp_path / "t" / "_commits").iterdir()] == [f"{1:020d}.json"]

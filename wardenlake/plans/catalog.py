@@ -607,7 +607,7 @@ def partition_round_trip(spark, sf_dir):
 def _reported(spark, save) -> DataFrame:
     path = f"{new_folder(spark)}/report"
     save(path)
-    return spark.read.parquet(path).drop("report", "model_name", "generated_at", "reference_period", "current_period")
+    return reports.read_reports(spark, path, "parquet").drop("report", "model_name", "generated_at", "reference_period", "current_period")
 
 
 @query
@@ -627,14 +627,13 @@ def drift_report(spark, sf_dir):
 
 @query
 def registry_life_cycle(spark, sf_dir):
-    """Five entries are registered; one is refused, one overwritten, one deleted."""
+    """One entry per fold: registered with wrong metrics in one fold, refused, overwritten, one deleted. A commit each."""
     kept = registry.ModelRegistry(spark, f"{new_folder(spark)}/registry")
-    for e in _entries(spark, sf_dir).collect():  # one row per fold
-        rest = (e["params"], e["model_path"], e["tags"], e["notes"])
-        first = {"f1": -1.0} if e["version"] == "fold_1" else e["metrics"]
-        kept.register(e["version"], first, *rest, registered_at=e["registered_at"])
-        kept.register(e["version"], e["metrics"], *rest, registered_at=e["registered_at"], overwrite=e["version"] == "fold_1")
-        kept.register(e["version"], {"f1": 2.0})
+    entries = materialize(_entries(spark, sf_dir))
+    wrong = F.create_map(F.lit("f1"), F.lit(-1.0))
+    kept.register_all(entries.withColumn("metrics", F.when(F.col("version") == "fold_1", wrong).otherwise(F.col("metrics"))))
+    kept.register_all(entries.withColumn("metrics", wrong))
+    kept.register_all(entries.where("version = 'fold_1'"), overwrite=True)
     kept.delete("fold_0")
     return _flat(kept.list_versions())
 

@@ -1,24 +1,19 @@
-"""Model registry: an append-only table of registrations and deletions.
+"""Model registry: a log of registrations and deletions on a table with commits.
 
-The state of a version is its latest entry, so nothing is ever overwritten and readers see
-whole entries only.
+The state of a version is its latest entry. Registering checks and appends in one commit: of several writers of one
+version without `overwrite` exactly one gets True, and nothing that was reported as done is lost.
 """
 
 from __future__ import annotations
 
-import uuid
 from datetime import datetime, timezone
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from wardenlake.schema import registry_schema
+from wardenlake.sources.commit_log import NUMBER, CommittedTable
 
-LOG_SCHEMA = T.StructType(
-    [T.StructField("seq", T.LongType(), False), T.StructField("deleted", T.BooleanType(), False)]
-    + registry_schema().fields
-    + [T.StructField("written_at", T.TimestampType()), T.StructField("entry_id", T.StringType())]
-)
+LOG_SCHEMA = T.StructType([T.StructField("deleted", T.BooleanType(), False), *registry_schema().fields])
 
 
 # ---------------------------------------------------------------------------------------------
@@ -82,40 +77,28 @@ def model_info(entries: DataFrame, model_path: str) -> DataFrame:
 # storage
 
 
+def newest_entries(log: DataFrame) -> DataFrame:
+    """The latest entry of every version that isn't deleted. A commit has one entry of a version."""
+    newest = Window.partitionBy("version").orderBy(F.desc(NUMBER))
+    latest = log.withColumn("at", F.row_number().over(newest)).where("at = 1 AND NOT deleted")
+    return latest.select(*[f.name for f in registry_schema()])
+
+
 class ModelRegistry:
     def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path
-
-    def _log(self) -> DataFrame:
-        try:
-            return self.spark.read.schema(LOG_SCHEMA).parquet(self.path)
-        except AnalysisException as error:
-            if "PATH_NOT_FOUND" not in str(error):
-                raise
-            return self.spark.createDataFrame([], LOG_SCHEMA)
+        self.spark, self.table = spark, CommittedTable(spark, path, LOG_SCHEMA)
 
     def entries(self) -> DataFrame:
-        newest = Window.partitionBy("version").orderBy(F.desc("seq"), F.desc_nulls_last("written_at"), F.desc("entry_id"))
-        latest = self._log().withColumn("at", F.row_number().over(newest)).where("at = 1 AND NOT deleted")
-        return latest.select(*[f.name for f in registry_schema()])
+        return newest_entries(self.table.read())
 
-    def _append(self, deleted: bool, version: str, at: datetime, *rest) -> None:
-        seq = (self._log().agg(F.max("seq")).first()[0] or 0) + 1
-        # two writers may take the same number: the later one counts
-        stamp = (datetime.now(timezone.utc), uuid.uuid4().hex)
-        row = self.spark.createDataFrame([(seq, deleted, version, at, *rest, *stamp)], LOG_SCHEMA)
-        row.coalesce(1).write.mode("append").parquet(self.path)
-
-    def _has(self, version: str) -> bool:
-        return bool(get_version(self.entries(), version).take(1))
+    def _entry(self, deleted: bool, version: str, at: datetime, *rest) -> DataFrame:
+        return self.spark.createDataFrame([(deleted, version, at, *rest)], LOG_SCHEMA).coalesce(1)
 
     def register(
         self, version, metrics, params=None, model_path=None, tags=None, notes=None, overwrite=False, registered_at=None
     ) -> bool:
         """False, and no change, if the version exists and `overwrite` is not set."""
-        if not overwrite and self._has(version):
-            return False
-        self._append(
+        row = self._entry(
             False,
             version,
             registered_at or datetime.now(timezone.utc),
@@ -125,22 +108,43 @@ class ModelRegistry:
             list(tags or []),
             notes or "",
         )
-        return True
+        if overwrite:
+            return self.table.append(row) > 0
+        return self.table.update(lambda log: None if get_version(newest_entries(log), version).take(1) else row) is not None
+
+    def register_all(self, entries: DataFrame, overwrite: bool = False) -> bool:
+        """Many entries in one commit. Known versions keep their entry unless `overwrite`; False if nothing was added.
+
+        Of entries of the same version the one registered last counts.
+        """
+        last = Window.partitionBy("version").orderBy(F.desc("registered_at"), "model_path")
+        new = entries.withColumn("__at", F.row_number().over(last)).where("__at = 1")
+        new = new.select(F.lit(False).alias("deleted"), *[f.name for f in registry_schema()])
+
+        def change(log: DataFrame) -> DataFrame | None:
+            added = new if overwrite else new.join(newest_entries(log).select("version"), "version", "left_anti")
+            return None if added.isEmpty() else added.select(*LOG_SCHEMA.names)
+
+        return self.table.update(change) is not None
 
     def add_metrics(self, version: str, metrics) -> bool:
         """False, and no change, if the version is unknown."""
-        known = self.get(version).first()
-        if known is None:
-            return False
-        every = {**(known["metrics"] or {}), **metrics}
-        given = (known["params"], known["model_path"], known["tags"], known["notes"])
-        return self.register(version, every, *given, overwrite=True, registered_at=known["registered_at"])
+        added = F.create_map(*[F.lit(x) for k, v in metrics.items() for x in (k, float(v))]) if metrics else None
+
+        def change(log: DataFrame) -> DataFrame | None:
+            known = get_version(newest_entries(log), version)
+            if not known.take(1):
+                return None
+            if added is not None:
+                kept = F.map_filter("metrics", lambda name, _: ~name.isin(list(metrics)))
+                known = known.withColumn("metrics", F.map_concat(F.coalesce(kept, F.expr("cast(map() as map<string,double>)")), added))
+            return known.select(F.lit(False).alias("deleted"), *[f.name for f in registry_schema()]).coalesce(1)
+
+        return self.table.update(change) is not None
 
     def delete(self, version: str) -> bool:
-        if not self._has(version):
-            return False
-        self._append(True, version, datetime.now(timezone.utc), None, None, None, None, None)
-        return True
+        gone = self._entry(True, version, datetime.now(timezone.utc), None, None, None, None, None)
+        return self.table.update(lambda log: gone if get_version(newest_entries(log), version).take(1) else None) is not None
 
     def list_versions(self) -> DataFrame:
         return list_versions(self.entries())
