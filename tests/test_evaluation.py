@@ -112,3 +112,19 @@ def test_model_comparison(spark):
     rows = spark.createDataFrame([("a", 0.5, 0.1), ("b", 0.7, 0.2)], "model string, f1 double, mcc double")
     got = {r["metric"]: (r["a"], r["b"]) for r in metrics.compare_models(rows, ["a", "b"]).collect()}
     assert got == {"f1": (0.5, 0.7), "mcc": (0.1, 0.2)}
+
+
+@pytest.mark.parametrize("missing", [None, float("nan")])
+def test_rows_without_a_score_rank_last_whatever_the_size(spark, missing):
+    rows = [(i, i % 3 == 0, None if i in (6, 20) else (i * 7 % 40) / 40) for i in range(40)]
+    df = spark.createDataFrame([(i, int(y), missing if s is None else s) for i, y, s in rows], "tx_id long, Class int, score double")
+    filled = spark.createDataFrame([(i, int(y), -1.0 if s is None else s) for i, y, s in rows], "tx_id long, Class int, score double")
+    want = metrics.curve_areas(filled).first()
+    for rows_per_range in (5, 1_000_000):
+        got = metrics.curve_areas(df, rows_per_range=rows_per_range).first()
+        assert (got["roc_auc"], got["pr_auc"]) == pytest.approx((want["roc_auc"], want["pr_auc"]))
+        points = metrics.roc_curve(df, rows_per_range=rows_per_range)
+        assert points.count() == 40 and points.where("threshold = double('-Infinity') AND tpr = 1 AND fpr = 1").count() == 1
+    counts = thresholds.threshold_counts(df).collect()
+    assert [tuple(r) for r in counts] == [tuple(r) for r in thresholds.threshold_counts(filled).collect()]
+    assert all(r["tp"] + r["fp"] + r["fn"] + r["tn"] == 40 for r in counts)

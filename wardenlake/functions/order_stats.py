@@ -241,7 +241,7 @@ def range_edges(rows: DataFrame, key: str, rows_per_range: int) -> list[float]:
     step = max(1, distinct // PROBE_ROWS)
     probe = rows.select(key).where(F.pmod(F.xxhash64(key), F.lit(step)) == 0).distinct()
     cuts = probe.approxQuantile(key, [i / parts for i in range(1, parts)], 0.2 / parts)
-    return sorted(set(cuts))
+    return sorted({c for c in cuts if math.isfinite(c)})
 
 
 def running_totals(

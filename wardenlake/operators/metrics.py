@@ -55,14 +55,19 @@ def binary_metrics(df: DataFrame, label: str = "Class", prediction: str = "predi
 # curves
 
 
+def ranking_score(score: str):
+    """A row whose score is NULL or NaN ranks behind all others, and no threshold flags it."""
+    value = F.col(score).cast("double")
+    return F.coalesce(F.nanvl(value, F.lit(None)), F.lit(float("-inf")))
+
+
 def curve_counts(
     df: DataFrame, label: str = "Class", score: str = "score", rows_per_range: int = ROWS_PER_RANGE
 ) -> DataFrame:
-    """One row per distinct score: positives and negatives at it, and at or above it."""
-    points = df.groupBy(F.col(score).alias("threshold")).agg(
-        F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg")
-    )
-    edges = range_edges(df.select(F.col(score).alias("threshold")), "threshold", rows_per_range)
+    """One row per distinct score: positives and negatives at it, and at or above it. Rows without a score are at -Infinity."""
+    ranked = df.select(F.col(label).alias("y"), ranking_score(score).alias("threshold"))
+    points = ranked.groupBy("threshold").agg(F.count_if(F.col("y") == 1).alias("pos"), F.count_if(F.col("y") == 0).alias("neg"))
+    edges = range_edges(ranked.select("threshold"), "threshold", rows_per_range)
     return running_totals(points, "threshold", ["pos", "neg"], edges)
 
 

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window, functions as F
 
-from wardenlake.operators.metrics import rates
+from wardenlake.operators.metrics import ranking_score, rates
 
 
 def default_thresholds(n: int = 200, low: float = 0.01, high: float = 0.99) -> list[float]:
@@ -20,14 +20,14 @@ def default_thresholds(n: int = 200, low: float = 0.01, high: float = 0.99) -> l
 def threshold_counts(
     df: DataFrame, label: str = "Class", score: str = "score", thresholds: Sequence[float] | None = None
 ) -> DataFrame:
-    """tp, fp, fn, tn at each threshold (`score >= threshold`).
+    """tp, fp, fn, tn at each threshold (`score >= threshold`, never true without a score).
 
     Scores are counted by the number of thresholds they reach; running totals over those few
     counts give all the matrices.
     """
     cuts = sorted(set(default_thresholds() if thresholds is None else map(float, thresholds)))
     bucket = Bucketizer(splits=[-math.inf, *cuts, math.inf], inputCol="score", outputCol="reached")
-    pairs = df.select(F.col(label).alias("y"), F.col(score).cast("double").alias("score"))
+    pairs = df.select(F.col(label).alias("y"), ranking_score(score).alias("score"))
     counts = (
         bucket.transform(pairs)
         .groupBy(F.col("reached").cast("int").alias("reached"))
