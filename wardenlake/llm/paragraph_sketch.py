@@ -80,36 +80,46 @@ def subtract(left: Column, right: Column) -> Column:
 
 
 def peel(cells: Column, most: Column) -> Column:
-    """(cells, left, right, idle): digests recovered in at most `most` steps, and what couldn't be peeled."""
+    """(cells, left, right, idle): digests recovered in at most `most` rounds, and what couldn't be peeled.
+
+    A round takes all digests that are alone in some cell out of all their cells.
+    """
     none = F.array().cast(KEYS)
     state = F.struct(cells.alias("cells"), none.alias("left"), none.alias("right"), F.lit(False).alias("idle"))
 
-    def take(s: Column, pure: Column) -> Column:
-        n, key = pure["n"], pure["key"]
+    def take(cells: Column, pure: Column) -> Column:
+        """The cells without one digest; `places` has a bit for each of its cells."""
+        key, one = pure["key"], F.lit(1)
+        bits = [F.call_function("shiftleft", one, (_slot(key, row) + row * PER_ROW).cast("int")) for row in range(ROWS)]
+        places = bits[0].bitwiseOR(bits[1]).bitwiseOR(bits[2])
 
-        def without(c: Column, i: Column) -> Column:
-            row = F.floor(i / PER_ROW).cast("int")
-            mine = F.call_function("shiftright", key, row * 2).bitwiseAND(F.lit(PER_ROW - 1).cast("long")) == i % PER_ROW
+        def without(c: Column, i: Column, places: Column) -> Column:
             rest = F.struct(
-                (c["n"] - n).alias("n"),
+                (c["n"] - pure["n"]).alias("n"),
                 c["key"].bitwiseXOR(key).alias("key"),
                 c["check"].bitwiseXOR(pure["check"]).alias("check"),
             )
-            return F.when(mine, rest).otherwise(c)
+            return F.when(F.call_function("shiftright", places, i).bitwiseAND(one) == 1, rest).otherwise(c)
 
-        return F.struct(
-            F.transform(s["cells"], without).alias("cells"),
-            F.when(n > 0, F.concat(s["left"], F.array(key))).otherwise(s["left"]).alias("left"),
-            F.when(n < 0, F.concat(s["right"], F.array(key))).otherwise(s["right"]).alias("right"),
-            F.lit(False).alias("idle"),
-        )
+        return _let(places, lambda p: F.transform(cells, lambda c, i: without(c, i, p)))
 
     def rest(s: Column) -> Column:
         return F.struct(s["cells"].alias("cells"), s["left"].alias("left"), s["right"].alias("right"), F.lit(True).alias("idle"))
 
+    def take_all(s: Column, pure: Column) -> Column:
+        def keys(sign: int) -> Column:
+            return F.transform(F.filter(pure, lambda c: c["n"] == sign), lambda c: c["key"])
+
+        return F.struct(
+            F.aggregate(pure, s["cells"], take).alias("cells"),
+            F.concat(s["left"], keys(1)).alias("left"),
+            F.concat(s["right"], keys(-1)).alias("right"),
+            F.lit(False).alias("idle"),
+        )
+
     def step(s: Column, _: Column) -> Column:
         pure = F.filter(s["cells"], lambda c: (F.abs(c["n"]) == 1) & (_check(c["key"]) == c["check"]))
-        taken = _let(pure, lambda found: F.when(F.size(found) > 0, take(s, F.get(found, F.lit(0)))).otherwise(rest(s)))
+        taken = _let(F.array_distinct(pure), lambda found: F.when(F.size(found) > 0, take_all(s, found)).otherwise(rest(s)))
         return F.when(s["idle"], s).otherwise(taken)
 
     steps = F.when(most > 0, F.sequence(F.lit(1), most)).otherwise(F.array().cast(NUMBERS))
