@@ -21,7 +21,8 @@ def score(item, text):
         for j, y in enumerate(b, 1):
             h[i][j] = max(0, h[i - 1][j - 1] + (2 if x == y else -1), h[i - 1][j] - 1, h[i][j - 1] - 1)
             best = max(best, h[i][j])
-    return best / (2 * len(a)) if len(a) >= 3 else 0
+    share = best / (2 * len(a)) if a else 0
+    return share if len(a) >= 3 or share == 1 else 0
 
 
 def random_text(rng, n):
@@ -106,6 +107,29 @@ def test_items_with_only_frequent_words_have_seeds(spark):
     assert passage_alignment.contaminated(docs, items).count() == 50
 
 
+def test_items_of_one_and_two_words_are_found_whole(spark):
+    items = [(1, "forty two"), (2, "Answer!"), (3, "the end"), (4, "???"), (5, "forty two three")]
+    docs = [(1, "it is Forty-two, they say"), (2, "forty and two"), (3, "the answer"), (4, "two forty"), (5, "the very end"), (6, "the end")]
+    want = held_against_brute_force(spark, items, docs)
+    assert set(want) == {(1, 1), (3, 2), (6, 3), (1, 5)} | {k for k in want if k[1] == 5}
+    kept = passage_alignment.without_contaminated(
+        spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items[:3], "item_id long, text string")
+    )
+    assert kept.count() == len(docs)  # so few words tell nothing about a text's origin
+
+
+def test_documents_without_id_and_very_long_texts(spark):
+    rng = random.Random(13)
+    item = random_text(rng, 30)
+    long = random_text(rng, 60_000)
+    docs = [(None, f"{item} one"), (None, f"{item} two"), (None, f"{item} two"), (7, f"{long} {item} {long}"), (7, item), (8, long)]
+    rows = passage_alignment.contaminated(
+        spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(1, item), (1, item)], "item_id long, text string")
+    ).collect()
+    assert sorted(str(r["doc_id"]) for r in rows) == ["7", "7", "None", "None"] and {r["score"] for r in rows} == {1.0}
+    assert {r["last_word"] for r in rows if r["doc_id"] == 7} == {30, 60_030}
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     items = spark.createDataFrame([], "item_id long, text string")

@@ -13,8 +13,9 @@
    the score over the whole text.
 
 Test items go to the tasks in blocks of at most `BLOCK_BYTES` of text (measured), each block with passes of its own;
-documents never move. Words are lower-cased runs of letters and digits. Items that are null or have fewer than three words
-are in no text. Rows of `benchmark` with equal ids count as items of their own; a document's best passage for an id is reported.
+documents never move. Words are lower-cased runs of letters and digits. Items of one or two words must be there whole; items that
+are null or have no words are in no text. Rows of `benchmark` with equal ids count as items of their own; a document's best
+passage for an id is reported. Rows of documents that repeat id and text are one document; others never merge, with or without an id.
 """
 
 from __future__ import annotations
@@ -68,6 +69,7 @@ class Items:
     rare: Seeds
     need: np.ndarray  # 3 x matched words + matched runs of three, at least, in a passage over the threshold
     reach: np.ndarray  # other steps, at most, in such a passage
+    threshold: np.ndarray  # share that counts
     words: np.ndarray  # sorted distinct hashes
 
     def words_of(self, item: int) -> np.ndarray:
@@ -105,16 +107,17 @@ def choose_seeds(ids: list, texts: list[str], docs: DataFrame, threshold: float
     size = np.diff(first)
     grams, at = ngrams(hashes, first, SEED_WORDS)
     distinct, number = np.unique(hashes, return_inverse=True)
-    often = count_words(docs, distinct)[number] if len(grams) else np.zeros(len(hashes), np.int64)
-    least = MATCH * threshold * size - 1e-6  # scores are whole numbers
+    often = count_words(docs, distinct)[number] if len(hashes) else np.zeros(0, np.int64)
+    share = np.where(size < SEED_WORDS, 1.0, threshold)
+    least = MATCH * share * size - 1e-6  # scores are whole numbers
     need, reach = 2 * least - 2, np.maximum(0, np.floor(MATCH * size - least)).astype(np.int64)
     left_out = np.clip(np.ceil(need / 3).astype(np.int64) - 1, 0, size)
     owner = np.repeat(np.arange(len(size)), size)
     order = np.lexsort((-often, owner))
     rank = np.arange(len(hashes)) - first[:-1][owner]
-    rare = np.sort(order[(rank >= left_out[owner]) & (size[owner] >= SEED_WORDS)])
+    rare = np.sort(order[rank >= left_out[owner]])
     return Items(
-        np.array(ids, object), hashes, first, Seeds.of(grams, at, first), Seeds.of(hashes[rare], rare, first), need, reach, distinct
+        np.array(ids, object), hashes, first, Seeds.of(grams, at, first), Seeds.of(hashes[rare], rare, first), need, reach, share, distinct
     )
 
 
@@ -195,7 +198,7 @@ def _shared(items: Items, hashes: np.ndarray, item: np.ndarray, start: np.ndarra
 
 
 def _score(items: Items, hashes: np.ndarray, found: list[tuple[int, int, int, int]]) -> tuple[np.ndarray, np.ndarray]:
-    """Scores of candidates as shares of the item, and their last words; similar sizes are aligned together."""
+    """Scores of candidates as shares of the item (0 below what counts), and their last words; similar sizes are aligned together."""
     scores, ends = np.zeros(len(found)), np.zeros(len(found), np.int64)
     sizes = np.diff(items.first)
     order = sorted(range(len(found)), key=lambda c: (sizes[found[c][1]], found[c][3] - found[c][2]))
@@ -220,28 +223,32 @@ def _score(items: Items, hashes: np.ndarray, found: list[tuple[int, int, int, in
             scores[c] = best[row] / (MATCH * sizes[found[c][1]])
             ends[c] = found[c][2] + end[row]
         at = upto
-    return scores, ends
+    item = np.array([c[1] for c in found], np.int64)
+    return np.where(scores >= items.threshold[item], scores, 0.0), ends
 
 
-def _blocks(benchmark: DataFrame, size: int) -> list[tuple[list, list[str]]]:
-    """The test items in blocks of at most `size` bytes of text."""
-    blocks, room = [([], [])], size
+def _blocks(benchmark: DataFrame, size: int, least_words: int = 1) -> Iterator[tuple[list, list[str]]]:
+    """The test items of so many words at least, in blocks of at most `size` bytes of text; one block at a time is on the driver."""
+    ids, texts, room = [], [], size
     for row in benchmark.select("item_id", "text").where("text IS NOT NULL").orderBy("item_id", "text").toLocalIterator():
+        if least_words > 1 and len(words([row["text"]])[0]) < least_words:
+            continue
         need = len(row["text"].encode())
-        if need > room and blocks[-1][0]:
-            blocks.append(([], []))
-            room = size
-        blocks[-1][0].append(row["item_id"])
-        blocks[-1][1].append(row["text"])
+        if need > room and ids:
+            yield ids, texts
+            ids, texts, room = [], [], size
+        ids.append(row["item_id"])
+        texts.append(row["text"])
         room -= need
-    return blocks
+    if ids:
+        yield ids, texts
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """doc_id, item_id, score, last_word: one row for each document and item that it has `threshold` or more of."""
     spark: SparkSession = docs.sparkSession
-    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, item_id {benchmark.schema['item_id'].dataType.simpleString()}, score double, last_word long"
-    kinds = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("score", pa.float64()), ("last_word", pa.int64())])
+    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, text_hash long, item_id {benchmark.schema['item_id'].dataType.simpleString()}, score double, last_word long"
+    kinds = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("item_id", pa.int64()), ("score", pa.float64()), ("last_word", pa.int64())])
     results = []
     for ids, texts in _blocks(benchmark, block_bytes):
         items = choose_seeds(ids, texts, docs, threshold)
@@ -254,22 +261,22 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
             for batch, owners, hashes, first in _rows(batches):
                 found = _candidates(known, hashes, first)
                 scores, ends = _score(known, hashes, found)
-                keys, best = batch.column("doc_id"), {}
+                keys, versions, best = batch.column("doc_id"), batch.column("text_hash"), {}
                 for (text, item, _, _), score, end in zip(found, scores.tolist(), ends.tolist()):
                     pair = (int(owners[text]), known.ids[item])
                     if score >= threshold and score > best.get(pair, (0, 0))[0]:
                         best[pair] = (score, int(end - first[text]))
-                rows = [{"doc_id": keys[o].as_py(), "item_id": i, "score": s, "last_word": e} for (o, i), (s, e) in best.items()]
+                rows = [{"doc_id": keys[o].as_py(), "text_hash": versions[o].as_py(), "item_id": i, "score": s, "last_word": e} for (o, i), (s, e) in best.items()]
                 yield pa.RecordBatch.from_pylist(rows, kinds)
 
-        results.append(docs.select("doc_id", "text").mapInArrow(search, schema))
+        results.append(docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(search, schema))
     if not results:
-        return spark.createDataFrame([], schema)
+        return spark.createDataFrame([], schema).drop("text_hash")
     union = results[0]
     for more in results[1:]:
         union = union.unionByName(more)
     best = F.max(F.struct("score", "last_word")).alias("best")
-    return union.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "best.score", "best.last_word")
+    return union.groupBy("doc_id", "text_hash", "item_id").agg(best).select("doc_id", "item_id", "best.score", "best.last_word")
 
 
 def largest_share(text: str | Column, items: Items) -> Column:
@@ -291,9 +298,12 @@ def largest_share(text: str | Column, items: Items) -> Column:
 
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """The documents that have less than `threshold` of every item, as they are; no row moves."""
+    """The documents that have less than `threshold` of every item, as they are; no row moves.
+
+    Items of fewer than three words tell nothing about where a text is from and reject none.
+    """
     kept = docs
-    for ids, texts in _blocks(benchmark, block_bytes):
+    for ids, texts in _blocks(benchmark, block_bytes, SEED_WORDS):
         items = choose_seeds(ids, texts, docs, threshold)
         if len(items.rare.hashes):
             kept = kept.where(largest_share("text", items) < threshold)
