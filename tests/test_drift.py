@@ -1,3 +1,4 @@
+import itertools
 import math
 
 import numpy as np
@@ -113,3 +114,45 @@ def test_summary_lists_drifted_features(spark):
     ref, cur = frame(spark, z=a[0][:900], y=b[0][:900]), frame(spark, z=a[1][:900], y=b[0][:900])
     row = drift.drift_summary(drift.detect_drift(ref, cur), ["z", "y"]).first()
     assert row["drifted_features"] == ["z"] and row["drift_ratio"] == 0.5
+
+
+def gaps_of_all_orders(n, m):
+    """The largest gap times n m of every order of two samples, by enumeration."""
+    for first in itertools.combinations(range(n + m), n):
+        i = j = top = 0
+        for s in range(n + m):
+            i, j = (i + 1, j) if s in first else (i, j + 1)
+            top = max(top, abs(i * m - j * n))
+        yield top
+
+
+@pytest.mark.parametrize("n,m", [(1, 1), (1, 5), (3, 3), (4, 7), (8, 8), (8, 6)])
+def test_exact_pvalue_is_the_share_of_orders(n, m):
+    gaps = list(gaps_of_all_orders(n, m))
+    for reach in range(1, n * m + 1):
+        want = sum(g >= reach for g in gaps) / len(gaps)
+        assert drift.exact_ks_pvalue(reach / (n * m), n, m) == pytest.approx(want, abs=1e-12)
+
+
+def test_exact_pvalue_of_larger_samples():
+    assert drift.exact_ks_pvalue(0.6, 10, 10) == pytest.approx(0.05244755, abs=1e-8)
+    assert drift.exact_ks_pvalue(0.29, 30, 70) == pytest.approx(0.0474, abs=5e-4)
+    n = 4000
+    lam = 0.03 * math.sqrt(n / 2)
+    series = 2 * sum((-1) ** (k - 1) * math.exp(-2 * k * k * lam * lam) for k in range(1, 50))
+    assert drift.exact_ks_pvalue(0.03, n, n) == pytest.approx(series, abs=2e-3)
+
+
+def test_the_method_of_the_pvalue_decides_the_flag(spark):
+    """30 against 70 values with a gap near 0.29: the exact value is the smaller one."""
+    reference = spark.createDataFrame([(i, i / 30) for i in range(30)], "tx_id long, a double")
+    current = [0.29 + (i + 0.5) / 70 * 0.71 for i in range(70)]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(current)], "tx_id long, a double")
+    d = drift.ks_statistic(reference, df, ["a"]).first()["ks_statistic"]
+    exact, asymptotic = (drift.detect_drift(reference, df, ["a"], ks_alpha=a, p_method=p).first() for a, p in ((0.05, "exact"), (0.05, "asymptotic")))
+    assert exact["ks_pvalue"] == pytest.approx(drift.exact_ks_pvalue(d, 30, 70), abs=1e-6)
+    between = (exact["ks_pvalue"] + asymptotic["ks_pvalue"]) / 2
+    flags = [drift.detect_drift(reference, df, ["a"], ks_alpha=between, p_method=p).first()["ks_drift_detected"] for p in ("exact", "asymptotic")]
+    assert flags == [True, False]
+    with pytest.raises(ValueError, match="p_method"):
+        drift.detect_drift(reference, df, ["a"], p_method="auto")

@@ -154,3 +154,21 @@ def test_density_integrates_to_one(spark):
     df = spark.createDataFrame([(float(300 + 10 * (i % 7)), 0) for i in range(200)], "Amount double, Class int")
     grid = profile.amount_density(df)
     assert grid.agg(F.sum("density")).first()[0] * 1000 / 199 == pytest.approx(1.0, abs=1e-3)
+
+
+def test_correlations_of_many_columns_with_gaps_take_two_jobs(spark):
+    rng = np.random.default_rng(3)
+    x = rng.standard_normal((400, 12)) @ rng.standard_normal((12, 12)) + 1e6
+    x[rng.random(x.shape) < 0.2] = np.nan
+    x[:, 3] = 5.0
+    names = [f"c{i}" for i in range(12)]
+    df = spark.createDataFrame([tuple(None if np.isnan(v) else float(v) for v in row) for row in x], ", ".join(f"{n} double" for n in names))
+    got = {(r["col_a"], r["col_b"]): r["corr"] for r in profile.correlation_matrix(df.repartition(5)).collect()}
+    for i, a in enumerate(names):
+        for j, b in enumerate(names):
+            both = ~np.isnan(x[:, i]) & ~np.isnan(x[:, j])
+            want = None if 3 in (i, j) else pytest.approx(np.corrcoef(x[both, i], x[both, j])[0, 1], abs=1e-9)
+            assert got[a, b] == want
+    alone = spark.createDataFrame([(1.0, None), (2.0, 3.0), (4.0, None)], "a double, b double")
+    assert [r["corr"] for r in profile.correlation_matrix(alone).orderBy("col_a", "col_b").collect()] == [1.0, None, None, None]
+    assert all(r["corr"] is None for r in profile.correlation_matrix(alone.limit(0)).collect())

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import itertools
+from collections.abc import Iterator
 
-from pyspark.ml.functions import array_to_vector
-from pyspark.ml.stat import Correlation
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from wardenlake.functions.order_stats import exact_quantiles
@@ -74,41 +75,42 @@ def mean_by_class(df: DataFrame, target: str = LABEL, exclude=(KEY,)) -> DataFra
     return df.groupBy(target).agg(*[F.avg(c).alias(c) for c in columns])
 
 
-def _pearson(a: Column, b: Column) -> Column:
-    """Correlation over the complete pairs; NULL, not an error, where one side does not vary."""
-    deviations = F.stddev_pop(F.when(b.isNotNull(), a)) * F.stddev_pop(F.when(a.isNotNull(), b))
-    return F.try_divide(F.covar_pop(a, b), deviations)
+def _masked_products(batches: Iterator[pa.RecordBatch], shifts: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """X'X, X'M, X2'M and M'M of shifted columns, M telling what is present, added up over a task."""
+    total = np.zeros((4, len(shifts), len(shifts)))
+    for batch in batches:
+        x = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns]) - shifts
+        m = (~np.isnan(x)).astype(float)
+        x = np.where(m > 0, x, 0.0)
+        total += np.stack([x.T @ x, x.T @ m, (x * x).T @ m, m.T @ m])
+    flat = pa.ListArray.from_arrays(pa.array([0, total.size], pa.int32()), pa.array(total.ravel()))
+    yield pa.RecordBatch.from_arrays([flat], ["part"])
 
 
 def correlation_matrix(df: DataFrame, columns=None) -> DataFrame:
-    """Pearson correlation of every two numeric columns, over the rows where both are present.
+    """Pearson correlation of every two numeric columns, over the rows where both are present; NULL where one doesn't vary.
 
-    Columns without gaps share one Gram matrix, summed up in a tree. Only pairs with a gappy
-    column need aggregates of their own.
+    One scan finds means to shift by, for the differences below lose no digits then; a second one adds up four products
+    of narrow matrices in every task, from which all pairs follow, columns with gaps included.
     """
     columns = list(columns or numeric_columns(df))
-    present = df.agg(
-        F.count("*").alias("__rows"),
-        *[F.count(c).alias(c) for c in columns],
-        *[(F.min(c) < F.max(c)).alias(f"{c}__varies") for c in columns],
-    ).first()
-    full = [c for c in columns if present[c] == present["__rows"]]
-    values: dict[tuple[str, str], float | None] = {}
-    if len(full) > 1 and present["__rows"] > 1:
-        vectors = df.select(array_to_vector(F.array(*[F.col(c).cast("double") for c in full])).alias("v"))
-        matrix = Correlation.corr(vectors, "v").first()[0].toArray()
-        values = {(a, b): float(matrix[i, j]) for i, a in enumerate(full) for j, b in enumerate(full)}
-    pairs = [p for p in itertools.combinations(columns, 2) if p not in values]
-    for start in range(0, len(pairs), 100):
-        part = pairs[start : start + 100]
-        got = df.agg(*[_pearson(F.col(a).cast("double"), F.col(b).cast("double")) for a, b in part]).first()
-        for (a, b), value in zip(part, got):
-            values[a, b] = values[b, a] = value
+    doubles = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    means = doubles.agg(*[F.avg(c).alias(c) for c in columns]).first()
+    shifts = np.array([0.0 if means[c] is None else means[c] for c in columns])
+    parts = doubles.mapInArrow(lambda batches: _masked_products(batches, shifts), "part array<double>")
+    sums = parts.select(F.posexplode("part").alias("at", "value")).groupBy("at").agg(F.sum("value").alias("value"))
+    flat = np.zeros(4 * len(columns) ** 2)
+    for r in sums.collect():  # four numbers for each pair of columns
+        flat[r["at"]] = r["value"]
+    products, sums_where, squares_where, both = flat.reshape(4, len(columns), len(columns))
+    spread = both * squares_where - sums_where**2  # of the row's column, over the rows that have the other
+    spread[spread <= 1e-12 * both * squares_where] = 0.0
+    with np.errstate(invalid="ignore", divide="ignore"):
+        corr = (both * products - sums_where * sums_where.T) / np.sqrt(spread * spread.T)
     rows = []
-    for a, b in itertools.product(columns, repeat=2):
-        varies = present[f"{a}__varies"] and present[f"{b}__varies"]
-        value = 1.0 if a == b else values.get((a, b))
-        rows.append((a, b, value if varies and value == value else None))
+    for (i, a), (j, b) in itertools.product(enumerate(columns), repeat=2):
+        known = spread[i, j] > 0 and spread[j, i] > 0
+        rows.append((a, b, (1.0 if i == j else float(corr[i, j])) if known else None))
     return df.sparkSession.createDataFrame(rows, "col_a string, col_b string, corr double")
 
 

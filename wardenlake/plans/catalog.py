@@ -12,6 +12,7 @@ from wardenlake.models import training
 from wardenlake.models.stages import soft_vote
 from wardenlake.operators import cost, drift, explain, features, metrics, profile, projections, sampling, scoring, smote, thresholds
 from wardenlake.plans import runs
+from wardenlake.schema import KEY
 from wardenlake.sources import bindings, registry, reports
 from wardenlake.sources.transactions import load_transactions, read_partition, write_partitions
 from wardenlake.streaming import scoring as streams
@@ -38,6 +39,11 @@ def rounded(df: DataFrame, *keep: str) -> DataFrame:
     return df.select(*[F.round(c, 6).alias(c) if t == "double" and c not in keep else F.col(c) for c, t in df.dtypes])
 
 
+def by_day(tx: DataFrame) -> DataFrame:
+    """Means of the numeric columns of every day that has transactions."""
+    return tx.groupBy(F.floor(F.col("Time") / 86_400).alias(KEY)).agg(*[F.avg(c).alias(c) for c in NUMERIC])
+
+
 def decided(spark: SparkSession, sf_dir: str, threshold: float | None = None) -> DataFrame:
     scored = bindings.scored_transactions(spark, sf_dir)
     rule = projections.argmax_prediction("score") if threshold is None else projections.apply_threshold("score", threshold)
@@ -370,6 +376,13 @@ def detect_drift(spark, sf_dir):
     return drift.detect_drift(*bindings.early_and_late(spark, sf_dir), NUMERIC)
 
 
+@query
+def detect_drift_exact(spark, sf_dir):
+    """Exact p-values on the days' totals of the early and the late half, samples of some dozen days."""
+    early, late = (by_day(part) for part in bindings.early_and_late(spark, sf_dir))
+    return drift.detect_drift(early, late, NUMERIC, p_method="exact")
+
+
 @query
 def drift_summary(spark, sf_dir):
     requested = [*NUMERIC, "V3"]
