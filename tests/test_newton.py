@@ -1,0 +1,59 @@
+import numpy as np
+import pytest
+from pyspark.ml import PipelineModel
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+
+from wardenlake.models import newton, training
+from wardenlake.operators.sampling import stratified_folds
+from tests.test_models import newton as plain_newton
+
+
+@pytest.fixture(scope="module")
+def gappy(signal):
+    return signal.withColumns({"Amount": F.when(F.col("tx_id") % 7 != 3, F.col("Amount")), "V2": F.when(F.col("tx_id") % 5 != 1, F.col("V2"))})
+
+
+def test_all_folds_at_once_equal_a_fit_each(gappy):
+    folds = 3
+    split = stratified_folds(gappy, folds).cache()
+    estimator = training.baseline(gappy)
+    stages = estimator.assembler.fit_folds(split, folds)
+    models = newton.fit_folds(split, stages, "Class", estimator.inverse_penalty, estimator.classifier)
+    for k in range(folds):
+        rows = split.where(F.col("fold") != k).drop("fold")
+        alone = estimator.assembler.fit(rows)
+        for name in ("medians", "caps", "means", "deviations"):
+            assert stages[k].getOrDefault(name) == pytest.approx(alone.getOrDefault(name), rel=1e-12)
+        got = alone.transform(rows).select(vector_to_array("features").alias("x"), "Class").collect()
+        x, y = np.array([r["x"] for r in got]), np.array([r["Class"] for r in got])
+        w = np.where(y == 1, len(y) / (2 * y.sum()), len(y) / (2 * (1 - y).sum()))
+        want = plain_newton(x, y, w)
+        np.testing.assert_allclose([*models[k].coefficients.toArray(), models[k].intercept], want, atol=1e-8)
+        fitted = estimator.fit(rows).stages[-1]
+        np.testing.assert_allclose([*fitted.coefficients.toArray(), fitted.intercept], want, atol=1e-8)
+
+
+def test_held_out_scores_are_those_of_the_folds_models(gappy):
+    estimator = training.baseline(gappy)
+    scored = {r["tx_id"]: r for r in training.cross_validate(gappy, estimator, 3).collect()}
+    split = stratified_folds(gappy, 3)
+    assert len(scored) == gappy.count()
+    model = estimator.fit(split.where("fold <> 1").drop("fold"))
+    for r in training.score_table(model, split.where("fold = 1")).collect():
+        assert scored[r["tx_id"]]["score"] == pytest.approx(r["score"], abs=1e-9) and scored[r["tx_id"]]["fold"] == 1
+
+
+def test_separable_rows_and_one_class(spark):
+    df = spark.createDataFrame([(i, float(i), int(i > 10)) for i in range(20)], "tx_id long, Amount double, Class int")
+    model = training.train_baseline(df)
+    assert [r["prediction"] for r in training.score_table(model, df).orderBy("tx_id").collect()] == [int(i > 10) for i in range(20)]
+    one = training.train_baseline(df.where("Class = 0"))
+    assert training.score_table(one, df).agg(F.max("score")).first()[0] < 0.5
+
+
+def test_saved_and_loaded(spark, gappy, tmp_path):
+    model = training.train_baseline(gappy)
+    model.write().save(str(tmp_path / "m"))
+    one, two = (training.score_table(m, gappy).orderBy("tx_id").limit(50).collect() for m in (model, PipelineModel.load(str(tmp_path / "m"))))
+    assert one == two

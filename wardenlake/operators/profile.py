@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from wardenlake.functions.order_stats import exact_quantiles
+from wardenlake.functions.sums import summed
 from wardenlake.schema import KEY, LABEL, numeric_columns
 
 
@@ -98,10 +99,7 @@ def correlation_matrix(df: DataFrame, columns=None) -> DataFrame:
     means = doubles.agg(*[F.avg(c).alias(c) for c in columns]).first()
     shifts = np.array([0.0 if means[c] is None else means[c] for c in columns])
     parts = doubles.mapInArrow(lambda batches: _masked_products(batches, shifts), "part array<double>")
-    sums = parts.select(F.posexplode("part").alias("at", "value")).groupBy("at").agg(F.sum("value").alias("value"))
-    flat = np.zeros(4 * len(columns) ** 2)
-    for r in sums.collect():  # four numbers for each pair of columns
-        flat[r["at"]] = r["value"]
+    flat = summed(parts, 4 * len(columns) ** 2)
     products, sums_where, squares_where, both = flat.reshape(4, len(columns), len(columns))
     spread = both * squares_where - sums_where**2  # of the row's column, over the rows that have the other
     spread[spread <= 1e-12 * both * squares_where] = 0.0
