@@ -740,5 +740,5 @@ def score_single(spark, sf_dir):
 @query
 def explain_forest(spark, sf_dir):
     train, test = _train_test(spark, sf_dir)
-    phi = runs.explain_run(training.train_champion(train), test)
+    phi = runs.explain_run(training.train_champion(train), test, method="tree")
     return explain.global_importance(phi)
