@@ -172,3 +172,20 @@ def test_correlations_of_many_columns_with_gaps_take_two_jobs(spark):
     alone = spark.createDataFrame([(1.0, None), (2.0, 3.0), (4.0, None)], "a double, b double")
     assert [r["corr"] for r in profile.correlation_matrix(alone).orderBy("col_a", "col_b").collect()] == [1.0, None, None, None]
     assert all(r["corr"] is None for r in profile.correlation_matrix(alone.limit(0)).collect())
+
+
+def test_density_equals_the_sum_of_all_kernels(spark):
+    rng = np.random.default_rng(4)
+    amounts = {0: np.concatenate([rng.exponential(80, 3000), [0.0, 1000.0, 25_000.0]]), 1: rng.normal(400, 3, 500), 2: np.array([7.0]), 3: np.array([5.0, 5.0])}
+    rows = [(int(c), float(v)) for c, x in amounts.items() for v in x] + [(0, None)]
+    got = {}
+    for r in profile.amount_density(spark.createDataFrame(rows, "Class int, Amount double").repartition(3)).collect():
+        got.setdefault(r["Class"], {})[r["x"]] = r["density"]
+    for c in (0, 1):
+        x, n = amounts[c], len(amounts[c])
+        width = x.std(ddof=1) * n**-0.2
+        grid = np.arange(200) * (1000.0 / 199)
+        want = np.exp(-0.5 * ((grid[:, None] - x) / width) ** 2).sum(axis=1) / (n * width * np.sqrt(2 * np.pi))
+        assert len(got[c]) == 200
+        np.testing.assert_allclose([got[c][g] for g in sorted(got[c])], want, atol=1e-13 / width)
+    assert len(got[2]) == len(got[3]) == 200 and set(got[2].values()) == set(got[3].values()) == {None}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,9 +11,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from wardenlake.functions.order_stats import exact_quantiles
+from wardenlake.functions.storage import materialize
 from wardenlake.functions.sums import summed
 from wardenlake.schema import KEY, LABEL, numeric_columns
 
+# of the density estimate: box and reach in bandwidths, terms of the expansion
+BOX, REACH, TERMS = 0.5, 9.0, 16
+
 
 def class_balance(df: DataFrame, target: str = LABEL) -> DataFrame:
     """Rows and share of every class."""
@@ -112,32 +117,51 @@ def correlation_matrix(df: DataFrame, columns=None) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, "col_a string, col_b string, corr double")
 
 
+def _gauss_moments(offset: Column) -> Column:
+    """Sums of offset^k / k!, k < TERMS, each power by one product from the last."""
+    return F.array(*[F.sum(F.pow(offset, F.lit(float(k)))) / math.factorial(k) for k in range(TERMS)])
+
+
+def _gauss_sum(moments: Column, t: Column) -> Column:
+    """Sum of moments[k] times the k-th Hermite function at t, by their recurrence."""
+    state = F.struct(F.lit(0.0).alias("sum"), F.exp(-t * t).alias("now"), F.lit(0.0).alias("last"), F.lit(0.0).alias("k"))
+
+    def step(s: Column, moment: Column) -> Column:
+        ahead = F.lit(2.0) * t * s["now"] - F.lit(2.0) * s["k"] * s["last"]
+        return F.struct((s["sum"] + moment * s["now"]).alias("sum"), ahead.alias("now"), s["now"].alias("last"), (s["k"] + 1.0).alias("k"))
+
+    return F.aggregate(moments, state, step, lambda s: s["sum"])
+
+
 def amount_density(
     df: DataFrame, column: str = "Amount", target: str = LABEL, points: int = 200, upper: float = 1000.0
 ) -> DataFrame:
     """Gaussian density estimate of the amounts of each class on an even grid from 0 to `upper`.
 
-    Equal amounts are counted first, so the grid is spread over distinct amounts and not rows.
-    The bandwidth is the sample deviation times n to the power -1/5.
+    A fast Gauss transform: one aggregation keeps TERMS moments for each class and box of half a bandwidth, and the boxes
+    are expanded at the grid points they reach. An amount's kernel is off by less than 1e-15 of its height that way,
+    and left out where it is below 1e-17 of it. The bandwidth is the sample deviation times n to the power -1/5;
+    the density is NULL where that is 0 or undefined.
     """
-    present = df.where(F.col(column).isNotNull())
+    present = df.where(F.col(column).isNotNull()).select(F.col(target), F.col(column).cast("double").alias("__x"))
     spread = present.groupBy(target).agg(
         F.count("*").alias("n_class"),
-        (F.stddev_samp(column) * F.pow(F.count("*").cast("double"), F.lit(-0.2))).alias("bandwidth"),
+        F.nullif(F.stddev_samp("__x") * F.pow(F.count("*").cast("double"), F.lit(-0.2)), F.lit(0.0)).alias("bandwidth"),
     )
-    step = upper / (points - 1)
-    grid = F.array(*[F.lit(i * step) for i in range(points)])
-    z = (F.col("x") - F.col(column)) / F.col("bandwidth")
-    return (
-        present.groupBy(target, column)
-        .agg(F.count("*").alias("n"))
-        .join(F.broadcast(spread), target)  # one row per class
-        .withColumn("x", F.explode(grid))
-        .groupBy(target, "x")
-        .agg(
-            F.sum(
-                F.col("n") * F.exp(F.lit(-0.5) * z * z)
-                / (F.col("n_class") * F.col("bandwidth") * F.sqrt(F.lit(2.0) * F.pi()))
-            ).alias("density")
-        )
+    spread = materialize(spread)  # a row per class
+    step, unit = upper / (points - 1), F.col("bandwidth") * math.sqrt(2.0)
+    wide = F.col("bandwidth") * BOX
+    center = (F.col("box") + 0.5) * wide
+    boxed = present.join(F.broadcast(spread), target).where("bandwidth IS NOT NULL").withColumn("box", F.floor(F.col("__x") / wide))
+    near = (F.col("__x") >= -REACH * F.col("bandwidth")) & (F.col("__x") <= upper + REACH * F.col("bandwidth"))
+    boxes = boxed.where(near).groupBy(target, "n_class", "bandwidth", "box").agg(_gauss_moments((F.col("__x") - center) / unit).alias("moments"))
+    low = F.greatest(F.lit(0), F.ceil((center - REACH * F.col("bandwidth")) / step))
+    high = F.least(F.lit(points - 1), F.floor((center + REACH * F.col("bandwidth")) / step))
+    placed = boxes.where(low <= high).withColumn("i", F.explode(F.sequence(low, high)))
+    kernel = _gauss_sum(F.col("moments"), (F.col("i") * step - center) / unit)
+    height = F.col("n_class") * F.col("bandwidth") * math.sqrt(2.0 * math.pi)
+    sums = placed.groupBy(target, "i").agg(F.sum(kernel / height).alias("density"))
+    grid = spread.select(target, "bandwidth", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(points - 1).cast("long"))).alias("i"))
+    return grid.join(sums, [target, "i"], "left").select(
+        target, (F.col("i") * step).alias("x"), F.when(F.col("bandwidth").isNotNull(), F.coalesce("density", F.lit(0.0))).alias("density")
     )
