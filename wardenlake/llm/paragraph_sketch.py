@@ -52,16 +52,14 @@ def _let(value: Column, body) -> Column:
 def sketch(keys: Column) -> Column:
     """CELLS cells (n, key, check) of a set of digests."""
 
-    zero = F.lit(0).cast("long")
-
     def cell(row: int, place: int) -> Column:
-        bits, wanted = F.lit((PER_ROW - 1) << 2 * row).cast("long"), F.lit(place << 2 * row).cast("long")
-        return _let(
-            F.filter(keys, lambda k: k.bitwiseAND(bits) == wanted),
-            lambda mine: F.struct(
-                F.size(mine).alias("n"),
-                F.aggregate(mine, zero, lambda a, k: a.bitwiseXOR(k)).alias("key"),
-                F.aggregate(mine, zero, lambda a, k: a.bitwiseXOR(F.xxhash64(k))).bitwiseAND(F.lit(CHECK_MASK).cast("long")).alias("check"),
+        mine = F.filter(keys, lambda k: _slot(k, row) == place)
+        empty = F.struct(F.lit(0).alias("n"), F.lit(0).cast("long").alias("key"), F.lit(0).cast("long").alias("check"))
+        return F.aggregate(
+            mine,
+            empty,
+            lambda c, k: F.struct(
+                (c["n"] + 1).alias("n"), c["key"].bitwiseXOR(k).alias("key"), c["check"].bitwiseXOR(_check(k)).alias("check")
             ),
         )
 
