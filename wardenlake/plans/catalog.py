@@ -14,6 +14,7 @@ from wardenlake.operators import cost, drift, explain, features, metrics, profil
 from wardenlake.plans import runs
 from wardenlake.schema import KEY
 from wardenlake.sources import bindings, registry, reports
+from wardenlake.sources.quarantine import load_with_quarantine
 from wardenlake.sources.transactions import load_transactions, read_partition, write_partitions
 from wardenlake.streaming import scoring as streams
 
@@ -608,6 +609,30 @@ def csv_upload_scores(spark, sf_dir):
     return rounded(runs.predict_run(spark, PublishedModel(), _csv(records), list(COEFFICIENTS)))
 
 
+def _broken_csv(spark, sf_dir):
+    """The transactions as CSV in several files, with cells that are no numbers in one line of seven and one of eleven."""
+    tx = bindings.transactions(spark, sf_dir)
+    broken = {
+        "Amount": F.when(F.col("tx_id") % 7 == 0, F.lit("n/a")).otherwise(F.col("Amount").cast("string")),
+        "Time": F.when(F.col("tx_id") % 11 == 0, F.lit("?")).otherwise(F.col("Time").cast("string")),
+    }
+    return _csv(tx.withColumns(broken))
+
+
+@query
+def csv_quarantine(spark, sf_dir):
+    """The lines that load, cell by cell."""
+    accepted, _ = load_with_quarantine(spark, _broken_csv(spark, sf_dir), f"{new_folder(spark)}/parts")
+    return rounded(accepted.select(bindings.transactions(spark, sf_dir).columns))
+
+
+@query
+def csv_rejects(spark, sf_dir):
+    """The lines that don't, and why."""
+    _, rejects = load_with_quarantine(spark, _broken_csv(spark, sf_dir), f"{new_folder(spark)}/parts")
+    return rejects.select(F.substring_index("line", ",", 1).cast("long").alias("tx_id"), "reason")
+
+
 @query
 def partition_round_trip(spark, sf_dir):
     """Train and test rows from the directories they were written to."""

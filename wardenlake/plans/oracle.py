@@ -348,6 +348,9 @@ SCORES_BESIDE = f"""WITH {TX}, s AS (SELECT *, 1.0::DOUBLE / (1.0::DOUBLE + exp(
 ORACLE |= {
     "csv_round_trip": ORACLE["scan_transactions"],
     "csv_upload_scores": SCORES_BESIDE,
+    "csv_quarantine": ORACLE["scan_transactions"] + " WHERE tx_id % 7 <> 0 AND tx_id % 11 <> 0",
+    "csv_rejects": """SELECT event_id AS tx_id, 'not a number: ' || CASE WHEN event_id % 77 = 0 THEN 'Time, Amount'
+        WHEN event_id % 7 = 0 THEN 'Amount' ELSE 'Time' END AS reason FROM events WHERE event_id % 7 = 0 OR event_id % 11 = 0""",
     "partition_round_trip": ORACLE["stratified_split"],
     "metrics_report": ORACLE["calculate_metrics"],
     "cost_report": ORACLE["cost_curve"],

@@ -7,6 +7,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from wardenlake.schema import KEY, LABEL, REQUIRED, nan_to_null, require_columns
 
 
+def csv_columns(spark: SparkSession, path: str, required=REQUIRED) -> T.StructType:
+    """The declared types of the columns that the header line names."""
+    header = require_columns(spark.read.option("header", True).csv(path), required).columns
+    integral = {KEY: T.LongType(), LABEL: T.IntegerType()}
+    return T.StructType([T.StructField(c, integral.get(c, T.DoubleType())) for c in header])
+
+
 def load_transactions(spark: SparkSession, path: str, fmt: str = "csv", required=REQUIRED) -> DataFrame:
     """Scan a transaction table; every column is DOUBLE but the key and the label.
 
@@ -15,9 +22,7 @@ def load_transactions(spark: SparkSession, path: str, fmt: str = "csv", required
     a landed table went through that once and needs no second pass (`spark.read`).
     """
     if fmt == "csv":
-        header = require_columns(spark.read.option("header", True).csv(path), required).columns
-        integral = {KEY: T.LongType(), LABEL: T.IntegerType()}
-        schema = T.StructType([T.StructField(c, integral.get(c, T.DoubleType())) for c in header])
+        schema = csv_columns(spark, path, required)
         table = spark.read.schema(schema).option("header", True).option("enforceSchema", False).option("mode", "FAILFAST").csv(path)
     else:
         table = require_columns(spark.read.format(fmt).load(path), required)
