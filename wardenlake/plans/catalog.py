@@ -11,6 +11,7 @@ from wardenlake.functions.storage import materialize, new_folder, spread
 from wardenlake.models import training
 from wardenlake.models.stages import soft_vote
 from wardenlake.operators import cost, drift, explain, features, metrics, profile, projections, sampling, scoring, smote, thresholds
+from wardenlake.operators.kernel_shapley import kernel_shapley_values
 from wardenlake.plans import runs
 from wardenlake.schema import KEY
 from wardenlake.sources import bindings, registry, reports
@@ -427,6 +428,19 @@ def shap_permutation(spark, sf_dir):
     return rounded(explain.shapley_values(rows, background, margin, list(LINEAR), DEFAULTS.shap_permutations))
 
 
+@query
+def shap_kernel(spark, sf_dir):
+    """All coalitions of the four features against 100 background rows; a linear margin's values are known in closed form."""
+    rows = bindings.transactions(spark, sf_dir).select("tx_id", F.array(*LINEAR).alias("x"))
+
+    def margin(table):
+        cells = vector_to_array("features")
+        return table.withColumn("score", sum((F.lit(b) * cells[i] for i, b in enumerate(LINEAR.values())), F.lit(0.0)))
+
+    background = explain.background_rows(rows, DEFAULTS.shap_permutations, 43)
+    return rounded(kernel_shapley_values(rows, background, margin, list(LINEAR), most_background=DEFAULTS.shap_permutations))
+
+
 # ---- registry --------------------------------------------------------------------------------
 
 

@@ -347,6 +347,7 @@ SCORES_BESIDE = f"""WITH {TX}, s AS (SELECT *, 1.0::DOUBLE / (1.0::DOUBLE + exp(
 
 ORACLE |= {
     "csv_round_trip": ORACLE["scan_transactions"],
+    "shap_kernel": ORACLE["shap_permutation"],
     "csv_upload_scores": SCORES_BESIDE,
     "csv_quarantine": ORACLE["scan_transactions"] + " WHERE tx_id % 7 <> 0 AND tx_id % 11 <> 0",
     "csv_rejects": """SELECT event_id AS tx_id, 'not a number: ' || CASE WHEN event_id % 77 = 0 THEN 'Time, Amount'
