@@ -20,6 +20,7 @@ class Settings:
 
     # oversampling
     neighbors: int = 5
+    neighbor_method: str = "exact"  # or "approximate", near linear in the minority rows
 
     # training
     folds: int = 5

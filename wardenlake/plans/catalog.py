@@ -13,7 +13,7 @@ from wardenlake.models.stages import soft_vote
 from wardenlake.operators import cost, drift, explain, features, metrics, profile, projections, sampling, scoring, smote, thresholds
 from wardenlake.operators.kernel_shapley import kernel_shapley_values
 from wardenlake.plans import runs
-from wardenlake.schema import KEY
+from wardenlake.schema import COMPONENTS, KEY
 from wardenlake.sources import bindings, registry, reports
 from wardenlake.sources.quarantine import load_with_quarantine
 from wardenlake.sources.transactions import load_transactions, read_partition, write_partitions
@@ -231,6 +231,14 @@ def smote_neighbors(spark, sf_dir):
     return smote.nearest_neighbors(minority).select("id", "neighbor", *r6("distance"), "rank")
 
 
+@query
+def smote_neighbors_approximate(spark, sf_dir):
+    """Of all rows with 28 components, where the exact search would compare nearly all pairs."""
+    wide = bindings.wide_transactions(spark, sf_dir).select("tx_id", F.array(*COMPONENTS).alias("x"))
+    usable = wide.where(F.forall("x", lambda c: c.isNotNull() & ~F.isnan(c)))
+    return smote.nearest_neighbors(usable, method="approximate").select("id", "neighbor", *r6("distance"), "rank")
+
+
 @query
 def smote_oversample(spark, sf_dir):
     made = smote.smote(_scaled_vectors(spark, sf_dir))
