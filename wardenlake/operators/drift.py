@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -118,28 +118,41 @@ def ks_statistic(reference: DataFrame, current: DataFrame, features: Sequence[st
     cut finer until few rows are left, whose distinct values are then put in order.
     """
     _, columns = shared_features(reference, current, features)
-    spark = reference.sparkSession
-    out_schema = "feature string, n_ref long, n_cur long, ks_statistic double"
     if not columns:
-        return spark.createDataFrame([], out_schema)
+        return reference.sparkSession.createDataFrame([], "feature string, n_ref long, n_cur long, ks_statistic double")
 
     def side(df, r, c):
         return long_form(df, columns).withColumns({"r": F.lit(r).cast("long"), "c": F.lit(c).cast("long")})
 
-    name = ["feature", "parent", "b"]
     rows = (
         side(reference, 1, 0)
         .unionByName(side(current, 0, 1))
         .withColumns({"parent": F.lit(0).cast("long"), "b": log_bucket(F.col("value"))})
     )
-    sums = [F.sum("r").alias("r"), F.sum("c").alias("c")]
+    return largest_gaps(_histogram(rows), lambda _: rows)
+
+
+NAME = ["feature", "parent", "b"]
+
+
+def _sums() -> list[Column]:
+    return [F.sum("r").alias("r"), F.sum("c").alias("c")]
+
+
+def _histogram(rows: DataFrame) -> DataFrame:
+    """One row per bucket; written, for several small queries read it."""
+    return materialize(rows.groupBy(*NAME).agg(*_sums(), F.min("value").alias("lo"), F.max("value").alias("hi")))
+
 
-    def histogram(rows: DataFrame) -> DataFrame:
-        # one row per bucket; written, for several small queries read it
-        ends = [F.min("value").alias("lo"), F.max("value").alias("hi")]
-        return materialize(rows.groupBy(*name).agg(*sums, *ends))
+def largest_gaps(counts: DataFrame, rows_of: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """(feature, n_ref, n_cur, ks_statistic) from a written histogram (feature, parent, b, r, c, lo, hi) of two tables.
 
-    counts = histogram(rows)
+    `r` and `c` count rows of the reference and the current table. `rows_of` gives the rows (feature, parent, b, value, r, c)
+    at least of the undecided buckets it is told, once.
+    """
+    spark, sums = counts.sparkSession, _sums()
+    out_schema = "feature string, n_ref long, n_cur long, ks_statistic double"
+    rows = None
     totals = {
         f["feature"]: (f["r"], f["c"])
         for f in counts.groupBy("feature").agg(*sums).collect()  # one row per feature
@@ -177,7 +190,7 @@ def ks_statistic(reference: DataFrame, current: DataFrame, features: Sequence[st
         undecided = (
             placed.join(F.broadcast(floor), "feature")
             .where((possible > F.col("best")) & (F.col("lo") < F.col("hi")))
-            .select(*name, "lo", "hi", r0.alias("r0"), c0.alias("c0"), (F.col("r") + F.col("c")).alias("n"))
+            .select(*NAME, "lo", "hi", r0.alias("r0"), c0.alias("c0"), (F.col("r") + F.col("c")).alias("n"))
         )
         found = undecided.limit(LOCAL_BUCKETS + 1).collect()
         if not found:
@@ -189,14 +202,15 @@ def ks_statistic(reference: DataFrame, current: DataFrame, features: Sequence[st
         else:
             brackets = materialize(undecided.withColumn("next", F.monotonically_increasing_id()))
             size, open_rows = brackets.agg(F.count("*"), F.sum("n")).first()
-        ends = brackets.select(*name, "next", "lo", "hi")
+        ends = brackets.select(*NAME, "next", "lo", "hi")
+        rows = rows_of(brackets) if rows is None else rows
         # beyond the limit Spark joins by the table's size
-        rows = zoom(rows, F.broadcast(ends) if size <= BROADCAST_BUCKETS else ends, name, SLICES)
+        rows = zoom(rows, F.broadcast(ends) if size <= BROADCAST_BUCKETS else ends, NAME, SLICES)
         starts = brackets.select("feature", F.col("next").alias("parent"), "r0", "c0")
         if open_rows <= OPEN_ROWS:
             raise_best(reached(rows.groupBy("feature", "parent", "value").agg(*sums), "value"))
             break
-        counts = histogram(rows)
+        counts = _histogram(rows)
     return spark.createDataFrame([(f, *totals[f], d) for f, d in best.items()], out_schema)
 
 
@@ -264,10 +278,15 @@ def detect_drift(
     all orders of the two samples, in time that grows with their sizes' product times the gap; for up to some ten
     thousand rows it tells small samples right where the asymptotic one doesn't.
     """
-    if p_method not in P_METHODS:
-        raise ValueError(f"p_method must be one of {sorted(P_METHODS)}, got '{p_method}'")
     ks = ks_statistic(reference, current, features)
     psi = compute_psi(profile or reference, current, shared_features(reference, current, features)[1])
+    return drift_flags(ks, psi, ks_alpha, psi_threshold, p_method)
+
+
+def drift_flags(ks: DataFrame, psi: DataFrame, ks_alpha: float, psi_threshold: float, p_method: str) -> DataFrame:
+    """The findings from both statistics, one row per feature."""
+    if p_method not in P_METHODS:
+        raise ValueError(f"p_method must be one of {sorted(P_METHODS)}, got '{p_method}'")
     p = P_METHODS[p_method](F.col("ks_statistic"), F.col("n_ref"), F.col("n_cur"))
     joined = psi.join(F.broadcast(ks.withColumn("p", p)), "feature")
     ks_flag, psi_flag = F.col("p") < ks_alpha, F.col("psi") >= psi_threshold

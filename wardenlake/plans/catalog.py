@@ -10,7 +10,8 @@ from wardenlake.functions.hashing import hash_key, unit_interval
 from wardenlake.functions.storage import materialize, new_folder, spread
 from wardenlake.models import training
 from wardenlake.models.stages import soft_vote
-from wardenlake.operators import cost, drift, explain, features, metrics, profile, projections, sampling, scoring, smote, thresholds
+from wardenlake.operators import cost, drift, explain, features, metrics, profile, projections, reference_profile, sampling, scoring
+from wardenlake.operators import smote, thresholds
 from wardenlake.operators.kernel_shapley import kernel_shapley_values
 from wardenlake.plans import runs
 from wardenlake.schema import COMPONENTS, KEY
@@ -386,6 +387,14 @@ def detect_drift(spark, sf_dir):
     return drift.detect_drift(*bindings.early_and_late(spark, sf_dir), NUMERIC)
 
 
+@query
+def profile_drift(spark, sf_dir):
+    """The late half against a profile of the early half on disk."""
+    early, late = bindings.early_and_late(spark, sf_dir)
+    profile = reference_profile.write_profile(early, new_folder(spark), NUMERIC)
+    return reference_profile.detect_drift_from_profile(profile, late)
+
+
 @query
 def detect_drift_exact(spark, sf_dir):
     """Exact p-values on the days' totals of the early and the late half, samples of some dozen days."""

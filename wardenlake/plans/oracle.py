@@ -295,6 +295,7 @@ ORACLE = {
     "ks_statistic": f"""WITH {HALVES}, {KS} SELECT feature, n_ref::BIGINT AS n_ref, n_cur::BIGINT AS n_cur,
         round(d, 6) + 0.0 AS ks_statistic FROM ks""",
     "detect_drift": f"WITH {DRIFT} SELECT * FROM drift",
+    "profile_drift": f"WITH {DRIFT} SELECT * FROM drift",
     "drift_summary": f"""WITH {DRIFT} SELECT count(*) FILTER (WHERE drift_detected) AS n_drifted, 5::BIGINT AS n_requested,
         round(count(*) FILTER (WHERE drift_detected) / 5.0::DOUBLE, 6) + 0.0 AS drift_ratio,
         coalesce(string_agg(feature, ',' ORDER BY feature) FILTER (WHERE drift_detected), '') AS drifted_features FROM drift""",

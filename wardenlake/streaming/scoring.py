@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from wardenlake.operators.drift import detect_drift, fit_psi, shared_features
+from wardenlake.functions.storage import new_folder
+from wardenlake.operators.reference_profile import ReferenceProfile, detect_drift_from_profile, write_profile
 from wardenlake.operators.scoring import score_batch, windowed_flags
 from wardenlake.schema import FEATURES, KEY, record_schema
+from wardenlake.streaming.period_counts import PeriodCounts
 
 
 def read_records(spark: SparkSession, path: str, fmt: str = "parquet", schema=None, **options) -> DataFrame:
@@ -33,12 +35,13 @@ def flag_rate_stream(
 ) -> StreamingQuery:
     """Flag counts per period, of every row however late.
 
-    A micro-batch writes what it adds to the periods, in a directory of its own that it overwrites when it is replayed;
-    `read_flag_rates` sums them up. Open periods are there from their first row on, and no row is dropped.
+    A micro-batch adds its counts to `PeriodCounts`, once however often it is replayed; `read_flag_rates` sums them up.
+    Open periods are there from their first row on, and no row is dropped.
     """
+    counts = PeriodCounts(scored.sparkSession, out)
 
     def add(batch: DataFrame, batch_id: int) -> None:
-        windowed_flags(batch, ts, every).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        counts.add(windowed_flags(batch, ts, every), batch_id)
 
     return (
         scored.writeStream.foreachBatch(add)
@@ -49,28 +52,26 @@ def flag_rate_stream(
 
 
 def read_flag_rates(spark: SparkSession, out: str) -> DataFrame:
-    return (
-        spark.read.parquet(out)
-        .groupBy("window_start", "window_end")
-        .agg(F.sum("total_transactions").alias("total_transactions"), F.sum("total_flagged_frauds").alias("total_flagged_frauds"))
-    )
+    return PeriodCounts(spark, out).read()
 
 
 def drift_stream(
-    reference: DataFrame, incoming: DataFrame, out: str, checkpoint: str, features=None, ks_alpha=0.05, psi_threshold=0.1, **trigger
+    reference: DataFrame | ReferenceProfile, incoming: DataFrame, out: str, checkpoint: str, features=None, ks_alpha=0.05, psi_threshold=0.1, **trigger
 ) -> StreamingQuery:
     """Compare every micro-batch with a fixed reference.
 
-    The reference is profiled once. A batch writes its own directory and overwrites it when it
-    is replayed.
+    The reference is profiled once, or comes as a profile on disk, which restarts can share; micro-batches read of it what
+    their own values leave undecided. A batch writes its own directory and overwrites it when it is replayed.
     """
-    profile = fit_psi(reference, shared_features(reference, incoming, features)[1])
+    spark = incoming.sparkSession
+    profile = reference if isinstance(reference, ReferenceProfile) else write_profile(reference, new_folder(spark), features)
+    psi = profile.psi()
 
     def check(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
             if batch.take(1):
-                found = detect_drift(reference, batch, features, ks_alpha, psi_threshold, profile)
+                found = detect_drift_from_profile(profile, batch, features, ks_alpha, psi_threshold, psi=psi)
                 found.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
         finally:
             batch.unpersist()
