@@ -34,8 +34,12 @@ def score_batch(model, df: DataFrame, features=FEATURES, keep=(KEY,)) -> DataFra
     return out.select(*kept, *decisions(F.col("prediction"), positive_score(out)))
 
 
-def predict_single(spark: SparkSession, model, record: Mapping, features=FEATURES) -> DataFrame:
-    """One record through the batch path."""
+def predict_single(spark: SparkSession, model, record: Mapping | DataFrame, features=FEATURES) -> DataFrame:
+    """One record, a mapping or a table with one row, through the batch path. An absent or missing feature is 0.0."""
+    if isinstance(record, DataFrame):
+        key = F.coalesce(F.col(KEY).cast("long"), F.lit(0)) if KEY in record.columns else F.lit(0).cast("long")
+        given = align_schema(record.withColumn(KEY, key), features)
+        return score_batch(model, given.fillna(0.0, list(features)), features)
     given = [float(record[c]) if record.get(c) is not None else 0.0 for c in features]
     schema = T.StructType([T.StructField(KEY, T.LongType()), *[T.StructField(c, T.DoubleType()) for c in features]])
     return score_batch(model, spark.createDataFrame([(int(record.get(KEY) or 0), *given)], schema), features)

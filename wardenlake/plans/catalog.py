@@ -709,7 +709,7 @@ def registry_life_cycle(spark, sf_dir):
 
 @query
 def score_single_published(spark, sf_dir):
-    record = bindings.transactions(spark, sf_dir).orderBy(F.desc("Amount"), "tx_id").first().asDict()
+    record = bindings.transactions(spark, sf_dir).orderBy(F.desc("Amount"), "tx_id").limit(1)
     return rounded(scoring.predict_single(spark, PublishedModel(), record, list(COEFFICIENTS)))
 
 
@@ -770,7 +770,7 @@ def feature_importance(spark, sf_dir):
 @query
 def cross_validation(spark, sf_dir):
     train, _ = _train_test(spark, sf_dir)
-    return training.fold_scores(training.cross_validate(train, training.baseline(train)))
+    return rounded(training.fold_scores(training.cross_validate(train, training.baseline(train))))
 
 
 @query
@@ -783,14 +783,14 @@ def random_search(spark, sf_dir):
 @query
 def score_fitted_model(spark, sf_dir):
     train, test = _train_test(spark, sf_dir)
-    return scoring.score_batch(training.train_baseline(train), test, NUMERIC)
+    return rounded(scoring.score_batch(training.train_baseline(train), test, NUMERIC))
 
 
 @query
 def score_single(spark, sf_dir):
     train, test = _train_test(spark, sf_dir)
-    record = test.orderBy(F.desc("Amount"), "tx_id").first().asDict()
-    return scoring.predict_single(spark, training.train_baseline(train), record, NUMERIC)
+    record = test.orderBy(F.desc("Amount"), "tx_id").limit(1)
+    return rounded(scoring.predict_single(spark, training.train_baseline(train), record, NUMERIC))
 
 
 @query

@@ -5,6 +5,7 @@ from __future__ import annotations
 import itertools
 
 from wardenlake.plans.catalog import COEFFICIENTS, INTERCEPT, LINEAR, NUMERIC
+from wardenlake.plans.newton_sql import fitted_scores
 from wardenlake.schema import COMPONENTS, FEATURES
 
 TX = """tx AS (
@@ -62,11 +63,12 @@ SPLIT = f"""split AS (
 FOLDS = """folds AS (
   SELECT *, (ntile(5) OVER (PARTITION BY Class ORDER BY md5(tx_id::VARCHAR || '|42')) - 1)::INTEGER AS fold FROM scored)"""
 
-CURVE = f"""{SCORED}, points AS (
+POINTS = """points AS (
   SELECT score AS threshold, sum(Class)::DOUBLE AS pos, sum(1 - Class)::DOUBLE AS neg FROM scored GROUP BY score),
  upto AS (SELECT threshold, pos, neg, sum(pos) OVER w AS tp, sum(neg) OVER w AS fp FROM points
           WINDOW w AS (ORDER BY threshold DESC ROWS UNBOUNDED PRECEDING)),
  whole AS (SELECT sum(pos) AS p, sum(neg) AS n FROM points)"""
+CURVE = f"{SCORED}, {POINTS}"
 AREAS = """SELECT round(sum(neg * (tp + tp - pos) / 2) / (any_value(p) * any_value(n)), 6) + 0.0 AS roc_auc,
   round(sum(pos * (tp / (tp + fp) + coalesce((tp - pos) / nullif(tp - pos + fp - neg, 0), 1.0)) / 2) / any_value(p), 6) + 0.0 AS pr_auc
   FROM upto, whole"""
@@ -146,6 +148,13 @@ PUBLISHED = f"""WITH {TX}, s AS (SELECT tx_id, 1.0::DOUBLE / (1.0::DOUBLE + exp(
          CASE WHEN p > 0.5 THEN 'Fraudulent' ELSE 'Legitimate' END AS prediction_label,
          round(p, 6) + 0.0 AS fraud_probability, round(1.0::DOUBLE - p, 6) + 0.0 AS legitimate_probability FROM s"""
 
+ONCE = f"""{TX}, {SPLIT % 'tx'}, given AS (SELECT *, 0 AS held, split AS part FROM split), {fitted_scores('given')}"""
+FITTED = f"""SELECT tx_id, prediction AS prediction_class, CASE WHEN prediction = 1 THEN 'Fraudulent' ELSE 'Legitimate' END AS prediction_label,
+  round(score, 6) + 0.0 AS fraud_probability, round(1.0::DOUBLE - score, 6) + 0.0 AS legitimate_probability FROM fitted"""
+HELD_OUT = f"""{TX}, {SPLIT % 'tx'}, {FOLDS.replace('FROM scored', "FROM split WHERE split = 'train'")},
+ given AS (SELECT f.*, k.held, CASE WHEN f.fold = k.held THEN 'test' ELSE 'train' END AS part
+   FROM folds f, (SELECT i::INTEGER AS held FROM range(5) t(i)) k), {fitted_scores('given')}"""
+
 SCALED = f"""{TX}, z AS (SELECT tx_id, Class,
     round((Time - (SELECT avg(Time) FROM tx)) / (SELECT stddev_pop(Time) FROM tx), 6) AS a,
     round((Amount - (SELECT avg(Amount) FROM tx)) / (SELECT stddev_pop(Amount) FROM tx), 6) AS b, V1 AS c, V2 AS d FROM tx),
@@ -358,5 +367,12 @@ ORACLE |= {
     "cost_report": ORACLE["cost_curve"],
     "drift_report": ORACLE["detect_drift"],
     "registry_life_cycle": f"WITH {ENTRIES} SELECT {ENTRY} FROM entries WHERE version <> 'fold_0'",
+    "baseline_regression": f"""WITH RECURSIVE {ONCE}, scored AS (SELECT * FROM fitted), {POINTS},
+        m AS (SELECT {counts()} FROM scored), a AS ({AREAS}) SELECT m.*, {RATES}, roc_auc, pr_auc, 'baseline' AS model FROM m, a""",
+    "cross_validation": f"""WITH RECURSIVE {HELD_OUT}, m AS (SELECT held, {counts()} FROM fitted GROUP BY held)
+        SELECT held AS fold, round({ratio('2 * tp', '2 * tp + fp + fn')}, 6) + 0.0 AS score FROM m""",
+    "score_fitted_model": f"WITH RECURSIVE {ONCE} {FITTED}",
+    "score_single": f"""WITH RECURSIVE {ONCE} {FITTED}
+        WHERE tx_id = (SELECT tx_id FROM split WHERE split = 'test' ORDER BY Amount DESC, tx_id LIMIT 1)""",
     "score_single_published": f"SELECT * FROM ({PUBLISHED}) WHERE tx_id = (SELECT event_id FROM events ORDER BY value DESC, event_id LIMIT 1)",
 }
