@@ -1,3 +1,4 @@
+import bisect
 import zlib
 from collections import defaultdict
 
@@ -64,6 +65,31 @@ def test_empty_table_and_files(spark, tmp_path):
     assert back.count() == 100 and back.select("shard").distinct().count() == 4
 
 
+@pytest.mark.parametrize("most_cells", [1, 4 << 20])
+def test_ranges_follow_rows(spark, monkeypatch, most_cells):
+    """The same places from many small ranges, a hot text cut among them, as from few large ones."""
+    monkeypatch.setattr(histogram_shards, "PIECES", 4)
+    monkeypatch.setattr(histogram_shards, "MOST_CELLS", most_cells)
+    text = F.when(F.col("id") % 3 == 0, "the hot text").otherwise(F.concat(F.lit("text "), F.col("id").cast("string")))
+    docs = spark.range(3000).select(F.col("id").alias("doc_id"), text.alias("text")).cache()
+    key, size = histogram_shards.text_then_id(), F.octet_length("text") + 1
+    rows = docs.select(key.alias("__key"), size.cast("long").alias("__size"))
+    cells = histogram_shards.find_cells(rows, 4, 0.001, range_rows=50)
+    assert max(c.rows for c in cells) <= 50 and sum(c.rows for c in cells) == 3000
+    ranges = histogram_shards.plan_ranges(cells, 4, range_rows=50)
+    assert len(ranges) >= 60
+    starts = [r.start for r in ranges]
+    placed = histogram_shards.shard(docs, key, size, shards=4, range_rows=50).withColumn("key", key).collect()
+    by_key = sorted(placed, key=lambda r: r["key"])
+    slots = defaultdict(int)
+    for r in by_key:
+        assert r["slot"] == slots[r["shard"]]
+        slots[r["shard"]] += 1
+        assert r["shard"] == ranges[max(0, bisect.bisect_right(starts, r["key"]) - 1)].shard
+    few = histogram_shards.shard(docs, key, size, shards=4).collect()
+    assert len(few) == len(placed) and set(slots) == {0, 1, 2, 3}
+
+
 @pytest.mark.parametrize("shards", [1, 2, 5])
 def test_plan_takes_nearest_edges(shards):
     cells = [histogram_shards.Cell(format(i, "03X"), 10, 1) for i in range(100)]

@@ -2,6 +2,7 @@ import zlib
 
 import numpy as np
 from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
 
 from wardenlake.llm import language_spans
 from wardenlake.llm.catalog import op8_language_spans
@@ -75,3 +76,18 @@ def test_spans_of_a_mixed_text(spark):
     found = mixed.select(language_spans.spans("text", model).alias("s")).first()["s"]
     assert [s["lang"] for s in found] == ["en", "fr", "en"]
     assert abs(len(found[1]["text"]) - 400) < 40
+
+
+def test_sample_is_bounded_with_a_hot_text(spark, monkeypatch):
+    """A text of a third of all rows neither fills the sample nor falls out of it as a whole."""
+    docs = spark.range(6000).selectExpr(
+        "id AS doc_id", "IF(id % 3 = 0, 'the hot text', concat('the text number ', id)) AS text", "IF(id % 3 = 0, 'fr', 'en') AS lang"
+    )
+    seen = []
+    whole = language_spans.sampled
+    monkeypatch.setattr(language_spans, "sampled", lambda rows, of, *key: (seen.append((rows, of)), whole(rows, of, *key))[1])
+    model = language_spans.train(docs, rows=600)
+    [(rows, of)] = seen
+    rest = docs.where(~language_spans.held_out(F.col("doc_id")))
+    assert of == rest.count() and 400 < rest.where(whole(rows, of, "doc_id", "text")).count() < 800
+    assert model.languages == ["en", "fr"]

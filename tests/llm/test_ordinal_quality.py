@@ -85,3 +85,47 @@ def test_odd_rows_and_no_ratings(spark, tmp_path):
     assert {r["doc_id"]: r["grade"] for r in ordinal_quality.graded(some).collect()} == {1: 0, 3: 2, 4: 0}
     assert len(ordinal_quality.rate_documents(docs, some).collect()) == 6
     assert ordinal_quality.rate_documents(docs.limit(0), some).collect() == []
+
+
+def test_fit_takes_one_text_of_an_id(spark, monkeypatch):
+    """An id that a third of all rows share is one rating, whatever its texts."""
+    sizes = []
+    whole = ordinal_quality.fit
+    monkeypatch.setattr(ordinal_quality, "fit", lambda rows, places, grades: (sizes.append(len(grades)), whole(rows, places, grades))[1])
+    docs = spark.range(900).selectExpr("IF(id % 3 = 0, 0, id) AS doc_id", "concat('word and text ', id) AS text")
+    labels = spark.range(900).selectExpr("id AS doc_id", "CAST(id % 2 AS INT) AS quality", "0 AS toxic")
+    first = ordinal_quality.train(docs.repartition(3), labels)
+    again = ordinal_quality.train(docs.repartition(7), labels)
+    assert sizes == [601, 601] and np.array_equal(first.weights, again.weights)
+    ordinal_quality.train(docs, labels, rows=90)
+    assert 30 < sizes[2] < 100
+
+
+def test_fit_against_coordinate_search():
+    """The smallest penalised loss that a plain search, one number at a time, finds by evaluating it."""
+    rng = np.random.default_rng(5)
+    n, has = 600, rng.random((600, 4)) < 0.5
+    grades = np.digitize(has @ np.array([3.0, 2.0, -2.0, -3.0]) + rng.logistic(size=n), [-1.0, 1.5])
+    model = ordinal_quality.fit(*np.nonzero(has), grades)
+    found = np.concatenate([model.weights[:4], model.thresholds])
+    assert np.all(found[:4] != 0) and not model.weights[4:].any()
+    below = np.concatenate([[0], (np.cumsum(np.bincount(grades)[:2] + 0.5)) / (n + 1.5), [1]])
+    pull = 1 - below[grades + 1] - below[grades]
+    penalty = ordinal_quality.SHRINK * np.sqrt((has * pull[:, None] ** 2).sum(axis=0)) / n
+
+    def objective(x):
+        upto = 1 / (1 + np.exp(-(x[4:][None] - (has @ x[:4])[:, None])))
+        upto = np.column_stack([np.zeros(n), upto, np.ones(n)])
+        likely = upto[np.arange(n), grades + 1] - upto[np.arange(n), grades]
+        return np.inf if likely.min() <= 0 else -np.log(likely).mean() + penalty @ np.abs(x[:4])
+
+    best, step = np.array([0.0, 0.0, 0.0, 0.0, -1.0, 1.0]), 1.0
+    while step > 1e-7:
+        tries = [best + sign * step * unit for unit in np.eye(6) for sign in (1, -1)]
+        better = min(tries, key=objective)
+        if objective(better) < objective(best) - 1e-15:
+            best = better
+        else:
+            step /= 2
+    assert objective(found) <= objective(best) + 1e-6
+    assert np.abs(found - best).max() < 0.02

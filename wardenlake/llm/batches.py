@@ -1,11 +1,12 @@
-"""Bounds on what a Python worker holds at a time."""
+"""Bounds on what a Python worker holds at a time, and samples of bounded size."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 BATCH_BYTES = 4 << 20
 BATCH_ROWS = 4000
+SAMPLE_BITS = 53
 
 
 def bound_batches(spark: SparkSession) -> None:
@@ -20,3 +21,9 @@ def bound_batches(spark: SparkSession) -> None:
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     bound_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def sampled(rows: int, of: int, *key: str) -> Column:
+    """Whether a row is among about `rows` of `of`, by a hash of the key columns; all are if there are no more."""
+    share = min(1.0, rows / max(1, of))
+    return F.shiftrightunsigned(F.xxhash64(*key), 64 - SAMPLE_BITS) < int(share * (1 << SAMPLE_BITS))

@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from wardenlake.llm import pretokens
+from wardenlake.llm.batches import sampled
 
 TRAIN_ROWS = 20_000
 TABLE_BITS = 16
@@ -188,10 +189,12 @@ def held_out(key: Column) -> Column:
 
 
 def train(docs: DataFrame, rows: int = TRAIN_ROWS) -> Model:
-    """Learn from about `rows` documents with a language, chosen by a hash of the text; a held-out row is never used."""
-    rest = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id"))).select("text", "lang")
-    share = min(1.0, rows / max(1, rest.count()))
-    picked = rest.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < share * 1_000_000)
+    """Learn from about `rows` documents with a language, chosen by a hash of id and text; a held-out row is never used.
+
+    Copies among them count once, so a text that a third of all rows share takes no more room than any other.
+    """
+    rest = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
+    picked = rest.where(sampled(rows, rest.count(), "doc_id", "text")).select("text", "lang").distinct()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[str, np.ndarray] = {}

@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from wardenlake.llm import pretokens
+from wardenlake.llm.batches import sampled
 
 FIT_ROWS = 8192
 PLACE_BITS = 18
@@ -170,9 +171,9 @@ def graded(labels: DataFrame) -> DataFrame:
 
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
+    """Learn from about `rows` ratings, chosen by a hash of the id. Of documents that share an id, one text is rated."""
     ratings = graded(labels)
-    share = min(1.0, rows / max(1, ratings.count()))
-    picked = ratings.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < share * 1_000_000)
+    picked = ratings.where(sampled(rows, ratings.count(), "doc_id"))
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -187,7 +188,8 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
             )
 
     # about `rows` ratings, so small; each document has at most 2^PLACE_BITS places
-    rated = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("text", "grade")
+    rated = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
+    rated = rated.groupBy("doc_id", "grade").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
     found = rated.mapInArrow(places, "grade int, places binary").collect()
     lists = [np.frombuffer(r["places"], "<i4") for r in found]
     row = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
