@@ -75,3 +75,11 @@ def test_empty_table_and_arrays(spark):
 def test_unknown_ids_are_refused():
     with pytest.raises(ValueError):
         byte_bpe._decoder(RANKS).decode([(60_000).to_bytes(4, "little")])
+
+
+def test_one_worker_does_as_two(spark):
+    docs = spark.createDataFrame([(1, "wide river"), (2, None), (2, None), (3, "é中 " * 2000)], "doc_id long, text string")
+    both = docs.select(byte_bpe.round_trip("text", RANKS).alias("c")).select("c.*").collect()
+    ids = docs.select(byte_bpe.encode("text", RANKS).alias("ids"))
+    apart = ids.select("ids", byte_bpe.decode("ids", RANKS).alias("decoded")).collect()
+    assert sorted(map(tuple, both)) == sorted(map(tuple, apart))

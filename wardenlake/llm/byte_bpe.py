@@ -138,13 +138,25 @@ def ids_array(ids: str | Column) -> Column:
     return listed(ids)
 
 
+def round_trip(text: str | Column, ranks_path: str) -> Column:
+    """(ids, decoded) of a STRING column: `encode`, and `decode` of what it gave, in one worker."""
+
+    @F.arrow_udf("struct<ids: binary, decoded: binary>")
+    def coded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            ids = _encoder(ranks_path).encode(batch.to_pylist())
+            decoded = _decoder(ranks_path).decode(ids)
+            yield pa.StructArray.from_arrays([pa.array(ids, pa.binary()), pa.array(decoded, pa.binary())], ["ids", "decoded"])
+
+    return coded(text)
+
+
 def round_trip_digests(docs: DataFrame, ranks_path: str) -> DataFrame:
-    """Per document: doc_id, n_tokens, and the digests of its ids and of what they decode to."""
-    coded = docs.select("doc_id", encode("text", ranks_path).alias("ids"))
-    both = coded.select("doc_id", "ids", decode("ids", ranks_path).alias("decoded"))
-    return both.select(
+    """Per document: doc_id, n_tokens, and the digests of its ids and of what they decode to. Repeated rows stay."""
+    coded = docs.select("doc_id", round_trip("text", ranks_path).alias("coded"))
+    return coded.select(
         "doc_id",
-        F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
-        F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
+        F.floor(F.octet_length("coded.ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("coded.ids", 256).alias("ids_sha256"),
+        F.sha2("coded.decoded", 256).alias("decoded_sha256"),
     )
