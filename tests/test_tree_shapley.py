@@ -2,6 +2,7 @@ import itertools
 from math import factorial
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.functions import array_to_vector
@@ -77,3 +78,13 @@ def test_no_rows(spark, table):
     assert tree_shapley.tree_shapley_values(df.limit(0), df, trees, list("abcd")).count() == 0
     with pytest.raises(ValueError, match="background"):
         tree_shapley.tree_shapley_values(df, df.limit(0), trees, list("abcd"))
+
+
+def test_small_batches_share_the_tables_of_leaves():
+    x = np.arange(12_000.0).reshape(-1, 2)
+    batch = pa.RecordBatch.from_arrays([pa.array(x[:, 0]), pa.array(x[:, 1])], ["a", "b"])
+    joined = list(tree_shapley._larger(iter([batch] * 20)))
+    assert [b.num_rows for b in joined] == [54_000, 54_000, 12_000]
+    features, low, high = np.array([0, 1]), np.array([5.0, -np.inf]), np.array([9000.0, 8000.0])
+    leaf = tree_shapley.Leaf(1.0, features, low, high, np.array([0, 3]), np.array([0.5, 0.5]))
+    assert (tree_shapley._column_masks(x.T, leaf) == tree_shapley._masks(x, features, low, high)).all()

@@ -21,6 +21,8 @@ from pyspark.sql import DataFrame, functions as F
 from wardenlake.models.trees import Trees
 
 MOST_FEATURES = 62  # of one path; they are bits of a number
+FEW_FEATURES = 6  # of a path whose masks are all tabulated, without looking which of them occur
+ROWS_AT_ONCE = 50_000  # share a leaf's table
 
 
 class Leaf(NamedTuple):
@@ -75,19 +77,46 @@ def _weights(most: int) -> tuple[np.ndarray, np.ndarray]:
 
 def contributions(x: np.ndarray, boxes: Sequence[Leaf]) -> np.ndarray:
     """(rows, features) exact Shapley values of the sum of the leaves."""
-    out = np.zeros(x.shape)
+    columns = np.ascontiguousarray(x.T)
+    out = np.zeros(columns.shape)
     own, other = _weights(max((len(leaf.features) for leaf in boxes), default=0))
     for leaf in boxes:
-        mine, row = np.unique(_masks(x, leaf.features, leaf.low, leaf.high), return_inverse=True)
+        masks = _column_masks(columns, leaf)
+        if len(leaf.features) <= FEW_FEATURES:
+            mine, row = np.arange(1 << len(leaf.features), dtype=np.int64), masks.astype(np.intp)
+        else:
+            mine, row = np.unique(masks, return_inverse=True)
         a, b = mine[:, None] & ~leaf.masks, leaf.masks & ~mine[:, None]
         whole = (mine[:, None] | leaf.masks) == (np.int64(1) << np.int64(len(leaf.features))) - 1
         na, nb = np.bitwise_count(a), np.bitwise_count(b)
         gain, loss = (np.where(whole, w[na, nb] * (leaf.shares * leaf.value), 0.0) for w in (own, other))
         for bit, j in enumerate(leaf.features.tolist()):
-            out[:, j] += ((((a >> bit) & 1) * gain).sum(axis=1) - (((b >> bit) & 1) * loss).sum(axis=1))[row]
+            out[j] += ((((a >> bit) & 1) * gain).sum(axis=1) - (((b >> bit) & 1) * loss).sum(axis=1))[row]
+    return out.T
+
+
+def _column_masks(columns: np.ndarray, leaf: Leaf) -> np.ndarray:
+    """What `_masks` gives, in small numbers where they do."""
+    kind = np.uint8 if len(leaf.features) <= FEW_FEATURES else np.int64
+    out = np.zeros(columns.shape[1], kind)
+    for bit, (j, low, high) in enumerate(zip(leaf.features.tolist(), leaf.low, leaf.high)):
+        inside = (columns[j] > low) & (columns[j] <= high)
+        out |= inside.astype(kind) << kind(bit)
     return out
 
 
+def _larger(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches joined until they have ROWS_AT_ONCE rows."""
+    held, rows = [], 0
+    for batch in batches:
+        held, rows = [*held, batch], rows + batch.num_rows
+        if rows >= ROWS_AT_ONCE:
+            yield pa.concat_batches(held)
+            held, rows = [], 0
+    if rows:
+        yield pa.concat_batches(held)
+
+
 def tree_shapley_values(
     rows: DataFrame, background: DataFrame, trees: Trees, names: Sequence[str], key: str = "tx_id", vector: str = "x", most: int = 100
 ) -> DataFrame:
@@ -98,7 +127,7 @@ def tree_shapley_values(
     sent = rows.sparkSession.sparkContext.broadcast(leaves(trees, np.array(base, float)))  # has the size of the model
 
     def explain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _larger(batches):
             x = batch.column("x").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
             phi = contributions(x, sent.value)
             ends = np.arange(0, phi.size + 1, len(names), dtype=np.int32)
